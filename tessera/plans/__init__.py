@@ -3,5 +3,5 @@
 Importing this package registers every query in :data:`registry.REGISTRY`.
 """
 
-from tessera.plans import q_profile  # noqa: F401
+from tessera.plans import q_profile, q_quality  # noqa: F401
 from tessera.plans.registry import REGISTRY  # noqa: F401

@@ -111,3 +111,40 @@ daily_series AS (
 
 def with_sql(*ctes: str) -> str:
     return "WITH " + ",\n".join(c.strip() for c in ctes)
+
+
+def profile_with_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Customer profile with injected missing values (the driver tables have no
+    NULLs): income NULL when id % 17 = 0, ticket NaN when id % 23 = 0, plan
+    NULL when id % 29 = 0; every row is kept."""
+    p = customer_profile(spark, d)
+    cid = F.col("customer_id")
+    return p.select(
+        "customer_id",
+        F.when(F.pmod(cid, F.lit(17)) == 0, F.lit(None).cast("double")).otherwise(F.col("income")).alias("income"),
+        "spend",
+        F.when(F.pmod(cid, F.lit(23)) == 0, F.lit(float("nan"))).otherwise(F.col("ticket")).alias("ticket"),
+        "frequency", "tenure_days",
+        F.when(F.pmod(cid, F.lit(29)) == 0, F.lit(None).cast("string")).otherwise(F.col("plan")).alias("plan"),
+        "region", "nation", "signup_date")
+
+
+PROFILE_WITH_GAPS_SQL = CUSTOMER_PROFILE_SQL.strip() + """,
+profile_with_gaps AS (
+  SELECT customer_id,
+         CASE WHEN customer_id % 17 = 0 THEN NULL ELSE income END AS income,
+         spend,
+         CASE WHEN customer_id % 23 = 0 THEN 'NaN'::DOUBLE ELSE ticket END AS ticket,
+         frequency, tenure_days,
+         CASE WHEN customer_id % 29 = 0 THEN NULL ELSE plan END AS plan,
+         region, nation, signup_date
+  FROM customer_profile
+)"""
+
+# Column names and Spark type names of the lineitem table.
+LINEITEM_SCHEMA = (
+    ("l_orderkey", "bigint"), ("l_partkey", "bigint"), ("l_suppkey", "bigint"),
+    ("l_linenumber", "int"), ("l_quantity", "double"), ("l_extendedprice", "double"),
+    ("l_discount", "double"), ("l_tax", "double"), ("l_returnflag", "string"),
+    ("l_linestatus", "string"), ("l_shipdate", "timestamp_ntz"),
+)
