@@ -1,11 +1,11 @@
-"""Average ranks (ties share the mean rank) without a global sort in one task.
-
-A ``rank()`` window with no ``partitionBy`` moves every row to one task. Here
-the rows are first collapsed to distinct values with counts (one partial
-aggregation), the distinct values are cut into ``buckets`` ranges by an
-approximate-quantile fit, bucket totals give each range its starting offset,
-and only inside a range is a running sum needed. A single value repeated by a
-third of all rows is one row after the first step.
+"""Ordered running sums and average ranks without a global sort in one task.
+
+A ``rank()`` or running-sum window with no ``partitionBy`` moves every row to
+one task. Here the rows are first collapsed to distinct ordering values (one
+partial aggregation), the distinct values are cut into ``buckets`` ranges by
+an approximate-quantile fit, bucket totals give each range its starting
+offset, and only inside a range is a running sum needed. A single value
+repeated by a third of all rows is one row after the first step.
 """
 
 from __future__ import annotations
@@ -14,32 +14,56 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def value_ranks(df: DataFrame, value: str, by=(), buckets: int | None = None) -> DataFrame:
-    """Distinct (by…, value) with ``n_ties`` and ``avg_rank`` (1-based) within ``by``."""
-    by = [by] if isinstance(by, str) else list(by)
-    spark = df.sparkSession
+def _buckets(spark, buckets):
     if buckets is None:
         buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    vc = (df.filter(F.col(value).isNotNull())
-          .groupBy(*by, value).agg(F.count(F.lit(1)).alias("n_ties")))
+    return buckets
+
+
+def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int | None = None,
+                   descending: bool = False) -> DataFrame:
+    """For a table already distinct on (by…, order), add ``{c}_before`` = sum
+    of ``c`` over all strictly earlier ``order`` values within ``by``."""
+    by = [by] if isinstance(by, str) else list(by)
+    cols = list(cols)
+    buckets = _buckets(distinct.sparkSession, buckets)
+    dtype = distinct.schema[order].dataType.typeName()
+    if dtype == "date":
+        okey = F.unix_date(F.col(order)).cast("double")
+    elif dtype.startswith("timestamp"):
+        okey = F.unix_micros(F.col(order).cast("timestamp")).cast("double")
+    else:
+        okey = F.col(order).cast("double")
+    src = distinct.withColumn("__o", -okey if descending else okey)
     if buckets > 1:
         probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-        cuts = vc.groupBy(*by).agg(F.percentile_approx(F.col(value), probs, 1000).alias("__cuts"))
-        vc = (vc.join(cuts, on=by, how="inner") if by else
-              vc.withColumn("__cuts", F.lit(cuts.first()["__cuts"])))
-        vc = vc.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col(value)))).drop("__cuts")
+        cuts = src.groupBy(*by).agg(F.percentile_approx("__o", probs, 1000).alias("__cuts"))
+        src = (src.join(cuts, on=by, how="inner") if by else
+               src.withColumn("__cuts", F.lit(cuts.first()["__cuts"])))
+        src = src.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("__o")))).drop("__cuts")
     else:
-        vc = vc.withColumn("__b", F.lit(0))
-    totals = vc.groupBy(*by, "__b").agg(F.sum("n_ties").alias("__bt"))
+        src = src.withColumn("__b", F.lit(0))
+    totals = src.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
     # Offsets over the bucket totals: (groups × buckets) rows, tiny.
-    wb = Window.partitionBy(*by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1) if by \
-        else Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("__off", F.coalesce(F.sum("__bt").over(wb), F.lit(0))).drop("__bt")
-    wv = Window.partitionBy(*by, "__b").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    return (vc.join(offsets, on=by + ["__b"], how="inner")
-            .withColumn("__before", F.coalesce(F.sum("n_ties").over(wv), F.lit(0)) + F.col("__off"))
-            .withColumn("avg_rank", F.col("__before") + (F.col("n_ties") + 1) / 2.0)
-            .drop("__b", "__off", "__before"))
+    wb = (Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))).orderBy("__b") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*by, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
+                                          for c in cols])
+    wv = Window.partitionBy(*by, "__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, -1)
+    out = src.join(offsets, on=by + ["__b"], how="inner")
+    for c in cols:
+        out = out.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(wv), F.lit(0)) + F.col(f"__off_{c}"))
+    return out.drop("__b", "__o", *[f"__off_{c}" for c in cols])
+
+
+def value_ranks(df: DataFrame, value: str, by=(), buckets: int | None = None) -> DataFrame:
+    """Distinct (by…, value) with ``n_ties`` and ``avg_rank`` (1-based) within ``by``."""
+    by = [by] if isinstance(by, str) else list(by)
+    vc = (df.filter(F.col(value).isNotNull())
+          .groupBy(*by, value).agg(F.count(F.lit(1)).alias("n_ties")))
+    r = ordered_cumsum(vc, value, ["n_ties"], by, buckets)
+    return r.withColumn("avg_rank", F.col("n_ties_before") + (F.col("n_ties") + 1) / 2.0) \
+            .drop("n_ties_before")
 
 
 def with_avg_rank(df: DataFrame, value: str, by=(), out: str | None = None,

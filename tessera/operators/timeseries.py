@@ -124,16 +124,15 @@ def walk_forward_frame(df: DataFrame, n_test: int, series: str = "series_id", ts
                .select(series, F.col("pos").alias("origin_pos"), F.col(ts).alias("origin_date"),
                        F.col(value).alias("naive"),
                        F.explode(F.array(*[F.lit(h) for h in horizons])).alias("horizon")))
-    actual = pos.select(series, F.col("pos").alias("__tp"), F.col(ts).alias("target_date"),
-                        F.col(value).alias("y_true"))
-    seas = pos.select(series, F.col("pos").alias("__sp"), F.col(value).alias("seasonal_naive"))
+    actual = pos.select(F.col(series).alias("__as"), F.col("pos").alias("__tp"),
+                        F.col(ts).alias("target_date"), F.col(value).alias("y_true"))
+    seas = pos.select(F.col(series).alias("__ss"), F.col("pos").alias("__sp"),
+                      F.col(value).alias("seasonal_naive"))
     return (origins
-            .join(actual, (origins[series] == actual[series]) &
-                  (actual["__tp"] == origins["origin_pos"] + origins["horizon"]), "inner")
-            .drop(actual[series])
-            .join(seas, (origins[series] == seas[series]) &
-                  (seas["__sp"] == origins["origin_pos"] + origins["horizon"] - season), "left")
-            .drop(seas[series])
+            .join(actual, (F.col(series) == F.col("__as")) &
+                  (F.col("__tp") == F.col("origin_pos") + F.col("horizon")), "inner")
+            .join(seas, (F.col(series) == F.col("__ss")) &
+                  (F.col("__sp") == F.col("origin_pos") + F.col("horizon") - season), "left")
             .select(series, "origin_pos", "origin_date", "target_date", "horizon", "y_true",
                     "naive", "seasonal_naive"))
 

@@ -25,7 +25,7 @@ class Query:
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         df = self.build(spark, sf_dir)
         if self.doubles:
-            df = df.select(*[F.round(F.col(c), self.doubles[c]).alias(c) if c in self.doubles
+            df = df.select(*[_round_col(F.col(c), self.doubles[c]).alias(c) if c in self.doubles
                              else F.col(c) for c in df.columns])
         return df
 
@@ -34,10 +34,27 @@ class Query:
             return None
         if not self.doubles:
             return self.sql
-        rep = ", ".join(f"round({c}, {d}) AS {c}" for c, d in self.doubles.items())
+        rep = ", ".join(f'{_round_sql(c, d)} AS "{c}"' for c, d in self.doubles.items())
         return f"SELECT * REPLACE ({rep}) FROM (\n{self.sql}\n) AS q"
 
 
+def _round_col(c, d):
+    """``d`` decimals, or for a string ``'b<k>'`` the nearest multiple of 2^-k
+    (binary grids never tie on values derived from decimal money amounts)."""
+    if isinstance(d, str):
+        k = float(2 ** int(d[1:]))
+        return F.round(c * k) / k + F.lit(0.0)  # + 0.0 folds -0.0 into 0.0
+    return F.round(c, d) + F.lit(0.0)
+
+
+def _round_sql(c, d):
+    q = f'"{c}"'
+    if isinstance(d, str):
+        k = float(2 ** int(d[1:]))
+        return f"(round({q} * {k}) / {k} + 0.0)"
+    return f"(round({q}, {d}) + 0.0)"
+
+
 REGISTRY: dict[str, Query] = {}
 
 
