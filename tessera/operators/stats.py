@@ -251,7 +251,8 @@ def breusch_pagan(df: DataFrame, residual: str, cols) -> DataFrame:
     p = len(cols)
     lm = n * r2
     fstat = (r2 / p) / ((1 - r2) / (n - p - 1))
-    rows = [(float(n), float(lm), dist.chi2_sf(lm, p), float(fstat), dist.f_sf(fstat, p, n - p - 1))]
+    rows = [(float(n), float(lm), float(dist.chi2_sf(float(lm), p)), float(fstat),
+             float(dist.f_sf(float(fstat), p, float(n - p - 1))))]
     return df.sparkSession.createDataFrame(rows, "n double, lm double, lm_p double, f double, f_p double")
 
 
