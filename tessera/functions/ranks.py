@@ -21,9 +21,11 @@ def _buckets(spark, buckets):
 
 
 def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int | None = None,
-                   descending: bool = False) -> DataFrame:
-    """For a table already distinct on (by…, order), add ``{c}_before`` = sum
-    of ``c`` over all strictly earlier ``order`` values within ``by``."""
+                   descending: bool = False, tie: str | None = None) -> DataFrame:
+    """For a table already distinct on (by…, order[, tie]), add ``{c}_before``
+    = sum of ``c`` over all rows strictly earlier in (order, tie) within ``by``.
+    Equal ``order`` values always share a bucket, so ``tie`` only needs to
+    order rows inside one bucket."""
     by = [by] if isinstance(by, str) else list(by)
     cols = list(cols)
     buckets = _buckets(distinct.sparkSession, buckets)
@@ -49,7 +51,8 @@ def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int |
         .rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*by, "__b", *[F.coalesce(F.sum(f"__t_{c}").over(wb), F.lit(0)).alias(f"__off_{c}")
                                           for c in cols])
-    wv = Window.partitionBy(*by, "__b").orderBy("__o").rowsBetween(Window.unboundedPreceding, -1)
+    okeys = ["__o"] + ([F.col(tie).desc() if descending else F.col(tie)] if tie else [])
+    wv = Window.partitionBy(*by, "__b").orderBy(*okeys).rowsBetween(Window.unboundedPreceding, -1)
     out = src.join(offsets, on=by + ["__b"], how="inner")
     for c in cols:
         out = out.withColumn(f"{c}_before", F.coalesce(F.sum(c).over(wv), F.lit(0)) + F.col(f"__off_{c}"))
