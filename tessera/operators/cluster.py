@@ -94,6 +94,31 @@ def pca_loadings(spark, model: dict) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def fit_pca_vectors(df: DataFrame, vec_col: str, k: int) -> dict:
+    """C-02: PCA of an array column with Spark ML (distributed covariance via
+    a tree aggregate, local eigen-decomposition of the d × d matrix). Rows are
+    centred with the fitted means first; components are sign-fixed as in
+    :func:`fit_pca`. Fit once at the largest k; smaller k are prefixes."""
+    from pyspark.ml.feature import PCA, StandardScaler
+    from pyspark.ml.functions import array_to_vector
+    v = df.select(array_to_vector(F.col(vec_col).cast("array<double>")).alias("__v"))
+    scaler = StandardScaler(withMean=True, withStd=False, inputCol="__v", outputCol="__c").fit(v)
+    model = PCA(k=k, inputCol="__c", outputCol="__p").fit(scaler.transform(v))
+    pc = model.pc.toArray()
+    signs = [1.0 if pc[np.argmax(np.abs(pc[:, j])), j] >= 0 else -1.0 for j in range(k)]
+    return {"scaler": scaler, "model": model, "signs": signs, "ratio": list(model.explainedVariance.toArray()),
+            "dims": pc.shape[0]}
+
+
+def pca_vector_scores(df: DataFrame, fitted: dict, vec_col: str, keep=()) -> DataFrame:
+    """Scores of :func:`fit_pca_vectors` as an array column ``scores``."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    v = df.select(*keep, array_to_vector(F.col(vec_col).cast("array<double>")).alias("__v"))
+    out = fitted["model"].transform(fitted["scaler"].transform(v))
+    signs = F.array(*[F.lit(s) for s in fitted["signs"]])
+    return out.select(*keep, F.zip_with(vector_to_array("__p"), signs, lambda a, b: a * b).alias("scores"))
+
+
 # ---------------------------------------------------------------- C-03 / C-04
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)

@@ -88,9 +88,9 @@ def regressors(label: str = "y", features: str = "features", seed: int = 42) ->
         "tree": DecisionTreeRegressor(featuresCol=features, labelCol=label, predictionCol="y_pred",
                                       maxDepth=5, seed=seed),
         "forest": RandomForestRegressor(featuresCol=features, labelCol=label, predictionCol="y_pred",
-                                        numTrees=100, maxDepth=8, featureSubsetStrategy="all", seed=seed),
+                                        numTrees=40, maxDepth=8, featureSubsetStrategy="all", seed=seed),
         "gbt": GBTRegressor(featuresCol=features, labelCol=label, predictionCol="y_pred",
-                            maxIter=50, maxDepth=3, stepSize=0.1, subsamplingRate=1.0, seed=seed),
+                            maxIter=30, maxDepth=3, stepSize=0.1, subsamplingRate=1.0, seed=seed),
     }
 
 
