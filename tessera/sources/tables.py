@@ -128,3 +128,23 @@ def save_model(model, path: str) -> None:
 def load_pipeline_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+# S-05: align an embedding table to the rows it describes, with checks.
+def align_embeddings(rows: DataFrame, embeddings: DataFrame, id_col: str,
+                     expected_total: int | None = None) -> DataFrame:
+    """Inner join on the id after checking that the two sides match.
+
+    Fails when the embedding table does not hold ``expected_total`` rows (the
+    row count before deduplication), or when a kept row has no embedding.
+    Embeddings of rows removed by deduplication are dropped by the join.
+    Both checks are anti joins with ``limit(1)`` — no full count of orphans.
+    """
+    if expected_total is not None:
+        n_emb = embeddings.count()
+        if n_emb != expected_total:
+            raise ValueError(f"{n_emb} embeddings for {expected_total} rows")
+    orphans = rows.select(id_col).join(embeddings.select(id_col), on=id_col, how="left_anti").limit(1).count()
+    if orphans:
+        raise ValueError("some rows have no embedding")
+    return rows.join(embeddings, on=id_col, how="inner")
