@@ -39,6 +39,7 @@ def main():
              .config("spark.sql.adaptive.skewJoin.enabled", "true")
              .config("spark.sql.session.timeZone", "UTC")
              .config("spark.ui.enabled", "false")
+             .config("spark.ui.showConsoleProgress", "false")
              .config("spark.driver.memory", "16g")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
