@@ -192,7 +192,7 @@ def f05_dropna(spark, d):
     return p.select("customer_id", "region")
 
 
-# F-06 … F-08 ----------------------------------------------------------------
+# F-06 … F-08 (F-07, the cross-column rule, is quantity > size + 10 here) ----
 def _rules():
     return Q.RuleSet([
         ("discount_above_max", F.col("discount") > 0.09),

@@ -89,12 +89,14 @@ def test_prefix_filter_matches_brute_force(spark):
     post = X.postings(df, "id", "text")
     vocab = X.fit_vocabulary(post, n_docs=df.count())
     w = X.tfidf(post, vocab)
-    for t in (0.5, 0.8, 0.95):
-        fast = {(r.test_doc, r.train_doc) for r in X.cosine_pairs(w, w, vocab, t).collect()}
+    for t in (0.3, 0.5, 0.8, 0.95):
+        fast = {(r.test_doc, r.train_doc): r.cosine for r in X.cosine_pairs(w, w, vocab, t).collect()}
         a, b = w.alias("a"), w.alias("b")
         brute = (a.join(b, "term").groupBy(F.col("a.doc").alias("x"), F.col("b.doc").alias("y"))
                  .agg(F.sum(F.col("a.w") * F.col("b.w")).alias("c")).filter(F.col("c") >= t - 1e-12))
-        assert fast == {(r.x, r.y) for r in brute.collect()}
+        slow = {(r.x, r.y): r.c for r in brute.collect()}
+        assert fast.keys() == slow.keys()
+        assert all(abs(fast[k] - slow[k]) < 1e-9 for k in slow)
 
 
 def test_ari_identical_and_hand_counts(spark):
@@ -104,3 +106,15 @@ def test_ari_identical_and_hand_counts(spark):
     rows = [(a, b) for (a, b), n in cells.items() for _ in range(n)]
     d2 = spark.createDataFrame(rows, "a int, b int")
     assert abs(C.adjusted_rand_index(d2, "a", "b").first().ari - 0.7838945400366291) < 1e-12
+
+
+def test_grid_comparison_skips_incompatible_pairs(spark):
+    from tessera.plans import REGISTRY
+    from tessera.plans.q_models import _GRID_MODELS, _grid_compatible
+    assert not _grid_compatible("naive_bayes", signed=True) and _grid_compatible("naive_bayes", signed=False)
+    rows = REGISTRY["v06_grid_comparison"].run(spark, "/root/testdata/sf0.001").collect()
+    # 5 representations (raw, raw_shifted, pca 10/20/30) × 4 models − 4 signed naive-Bayes pairs
+    assert len(rows) == 5 * len(_GRID_MODELS) - 4
+    assert len({(r.representation, r.dims, r.model) for r in rows}) == len(rows)
+    assert not any(r.model == "naive_bayes" and r.representation != "raw_shifted" for r in rows)
+    assert all(0.0 <= r.f1_macro <= 1.0 for r in rows)
