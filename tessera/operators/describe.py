@@ -1,8 +1,9 @@
 """Profiles, grouped statistics, reshaping and chart data (Q-05 … Q-07, A-*, D-*).
 
-Quantiles are exact (``percentile``, linear interpolation as in pandas) by
-default; ``approx=True`` switches to ``percentile_approx`` whose memory per
-group is bounded by the sketch accuracy, for hot groups at scale.
+Quantiles are exact (linear interpolation as in pandas) by default, computed
+by :func:`tessera.functions.ranks.exact_quantiles` — skew-safe, no group is
+gathered into one task; ``approx=True`` switches to ``percentile_approx``
+(one pass, memory bounded by the sketch accuracy).
 """
 
 from __future__ import annotations
@@ -13,15 +14,22 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.columns import long_table
+from tessera.functions.ranks import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def _quantiles(c: Column, probs, approx: bool, accuracy: int = 10000) -> Column:
-    probs = F.array(*[F.lit(float(p)) for p in probs])
+def _approx_quantiles(c: Column, probs, accuracy: int = 10000) -> Column:
+    return F.percentile_approx(c.cast("double"), F.array(*[F.lit(float(p)) for p in probs]), accuracy)
+
+
+def grouped_quantiles(df: DataFrame, value: str, probs, by=(), approx: bool = False,
+                      out: str = "q") -> DataFrame:
+    """(by…, ``out`` array) of quantiles of ``value`` per group."""
+    by = [by] if isinstance(by, str) else list(by)
     if approx:
-        return F.percentile_approx(c.cast("double"), probs, accuracy)
-    return F.percentile(c.cast("double"), probs)
+        return df.groupBy(*by).agg(_approx_quantiles(F.col(value), probs).alias(out))
+    return exact_quantiles(df, value, probs, by, out=out)
 
 
 # ---------------------------------------------------------------------- Q-05
@@ -32,14 +40,18 @@ def describe_numeric(df: DataFrame, cols, approx: bool = False) -> DataFrame:
     for i, c in enumerate(cols):
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
-                 F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"),
-                 _quantiles(x, QUARTILES, approx).alias(f"q{i}"), F.max(x).alias(f"max{i}")]
+                 F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
     one = df.agg(*aggs)
-    return long_table(one, [(c, {"count": F.col(f"n{i}"), "mean": F.col(f"mean{i}"),
-                                 "std": F.col(f"std{i}"), "min": F.col(f"min{i}"),
-                                 "p25": F.col(f"q{i}")[0], "p50": F.col(f"q{i}")[1],
-                                 "p75": F.col(f"q{i}")[2], "max": F.col(f"max{i}")})
-                            for i, c in enumerate(cols)])
+    moments = long_table(one, [(c, {"count": F.col(f"n{i}"), "mean": F.col(f"mean{i}"),
+                                    "std": F.col(f"std{i}"), "min": F.col(f"min{i}"),
+                                    "max": F.col(f"max{i}")})
+                               for i, c in enumerate(cols)])
+    long = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])))
+    q = grouped_quantiles(long, "x", QUARTILES, "column", approx)
+    return moments.join(q, on="column", how="left").select(
+        "column", "count", "mean", "std", "min", F.col("q")[0].alias("p25"), F.col("q")[1].alias("p50"),
+        F.col("q")[2].alias("p75"), "max")
 
 
 # ---------------------------------------------------------------------- Q-06
@@ -69,10 +81,11 @@ def group_describe(df: DataFrame, by, cols, approx: bool = False) -> DataFrame:
     cols = list(cols)
     long = df.select(*by, F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x")) for c in cols])))
-    med = (F.percentile_approx("x", 0.5, 10000) if approx else F.median("x"))
-    return long.groupBy(*by, "column").agg(
-        F.count("x").alias("n"), F.avg("x").alias("mean"), med.alias("median"),
-        F.stddev_samp("x").alias("std"))
+    med = grouped_quantiles(long, "x", [0.5], by + ["column"], approx) \
+        .select(*by, "column", F.col("q")[0].alias("median"))
+    mom = long.groupBy(*by, "column").agg(
+        F.count("x").alias("n"), F.avg("x").alias("mean"), F.stddev_samp("x").alias("std"))
+    return mom.join(med, on=by + ["column"], how="left").select(*by, "column", "n", "mean", "median", "std")
 
 
 def group_means(df: DataFrame, by, cols) -> DataFrame:
@@ -216,7 +229,7 @@ def box_stats(df: DataFrame, col: str, by=(), approx: bool = False, k: float = 1
     """
     by = [by] if isinstance(by, str) else list(by)
     x = F.col(col).cast("double")
-    q = (df.groupBy(*by).agg(_quantiles(x, QUARTILES, approx).alias("q"))
+    q = (grouped_quantiles(df.select(*by, x.alias("__x")), "__x", QUARTILES, by, approx)
          .select(*by, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"),
                  F.col("q")[2].alias("q3")))
     q = q.withColumn("lo_fence", F.col("q1") - k * (F.col("q3") - F.col("q1"))) \

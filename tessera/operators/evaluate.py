@@ -55,9 +55,8 @@ def quantile_segments(df: DataFrame, col: str, q: int = 4, approx: bool = False)
     Edges are one aggregate (q + 1 numbers); the bin of a row is the number of
     inner edges strictly below its value, so no ``ntile`` window is needed."""
     probs = [i / q for i in range(q + 1)]
-    pct = F.percentile_approx(F.col(col).cast("double"), probs, 10000) if approx else \
-        F.percentile(F.col(col).cast("double"), [float(p) for p in probs])
-    edges = sorted(set(df.agg(pct.alias("e")).first()["e"]))
+    from tessera.operators.describe import grouped_quantiles
+    edges = sorted(set(grouped_quantiles(df, col, probs, (), approx, out="e").first()["e"]))
     inner = F.array(*[F.lit(float(e)) for e in edges[1:-1]])
     seg = F.size(F.filter(inner, lambda e: e < F.col(col)))
     lo = F.element_at(F.array(*[F.lit(float(e)) for e in edges]), seg + 1)

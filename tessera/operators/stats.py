@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.functions import distributions as dist
 from tessera.functions.columns import long_table
 from tessera.functions.ranks import with_avg_rank
-from tessera.operators.describe import QUARTILES, _quantiles
+from tessera.operators.describe import QUARTILES, grouped_quantiles
 
 
 def _as_list(by):
@@ -32,7 +32,7 @@ def iqr_fences(df: DataFrame, cols, by=(), k: float = 1.5, approx: bool = False)
     """P-01: (by…, metric, q1, q3, iqr, lower, upper) for each metric."""
     by = _as_list(by)
     long = _melt(df, cols, by)
-    q = long.groupBy(*by, "metric").agg(_quantiles(F.col("x"), (0.25, 0.75), approx).alias("q"))
+    q = grouped_quantiles(long, "x", (0.25, 0.75), by + ["metric"], approx)
     return q.select(*by, "metric", F.col("q")[0].alias("q1"), F.col("q")[1].alias("q3")) \
         .withColumn("iqr", F.col("q3") - F.col("q1")) \
         .withColumn("lower", F.col("q1") - k * F.col("iqr")) \
