@@ -199,16 +199,19 @@ def near_duplicates(train: DataFrame, test: DataFrame, id_col: str, text: str, t
 
 
 # ---------------------------------------------------------------------- X-07
-def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_iter: int = 50) -> DataFrame:
+def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """X-07: (node, component = smallest node id reachable) by min-label
     propagation over an edge list; lineage is cut every few rounds with a
-    reliable checkpoint into the shared checkpoint folder."""
+    reliable checkpoint into the shared checkpoint folder. Rounds continue
+    until no label changes (at most the graph diameter), so the result is
+    exact; there is no round cap."""
     from tessera.session import reliable_checkpoint
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
     e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     e = reliable_checkpoint(e)
     labels = e.select(F.col("a").alias("node")).distinct().withColumn("comp", F.col("node"))
-    for i in range(max_iter):
+    i = 0
+    while True:
         prop = e.join(labels, e.a == labels.node).select(F.col("b").alias("node"), F.col("comp"))
         new = labels.unionByName(prop).groupBy("node").agg(F.min("comp").alias("comp"))
         if i % 3 == 2:
@@ -216,6 +219,7 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b", max_i
         changed = new.join(labels.withColumnRenamed("comp", "__old"), on="node") \
             .filter(F.col("comp") != F.col("__old")).limit(1).count()
         labels = new
+        i += 1
         if changed == 0:
             break
     return labels

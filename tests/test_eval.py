@@ -118,3 +118,26 @@ def test_grid_comparison_skips_incompatible_pairs(spark):
     assert len({(r.representation, r.dims, r.model) for r in rows}) == len(rows)
     assert not any(r.model == "naive_bayes" and r.representation != "raw_shifted" for r in rows)
     assert all(0.0 <= r.f1_macro <= 1.0 for r in rows)
+
+
+def test_connected_components_match_union_find(spark):
+    rnd = random.Random(11)
+    # a long chain (diameter 40, beyond any small round cap) plus random edges
+    edges = [(i, i + 1) for i in range(100, 140)] + [(rnd.randrange(60), rnd.randrange(60)) for _ in range(45)]
+    parent = {}
+
+    def find(x):
+        parent.setdefault(x, x)
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        ra, rb = find(a), find(b)
+        if ra != rb:
+            parent[max(ra, rb)] = min(ra, rb)
+    nodes = {n for e in edges for n in e}
+    want = {n: min(m for m in nodes if find(m) == find(n)) for n in nodes}
+    got = X.connected_components(spark.createDataFrame(edges, "a long, b long"))
+    assert {r.node: r.comp for r in got.collect()} == want
