@@ -68,8 +68,17 @@ def decode(df: DataFrame, col: str, mapping: dict, out: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X-03 / X-04
 def postings(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, term, tf) from the token rule."""
-    return (df.select(F.col(id_col).alias("doc"), F.explode(tokens(text)).alias("term"))
+    """(doc, term, tf) from the token rule.
+
+    Tokenising is the CPU-heavy step and runs in the tasks that produce the
+    texts. A scan of a few large row groups gives fewer tasks than cores;
+    only then the (id, text) rows are spread round-robin first. On a cluster
+    input splits far outnumber the cores and no shuffle is added."""
+    src = df.select(F.col(id_col).alias("doc"), F.col(text).alias("__text"))
+    cores = src.sparkSession.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() < cores:
+        src = src.repartition(cores)
+    return (src.select("doc", F.explode(tokens("__text")).alias("term"))
             .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
 
@@ -94,8 +103,9 @@ def tfidf(post: DataFrame, vocab: DataFrame) -> DataFrame:
     when it fits, shuffled otherwise)."""
     w = post.join(vocab.select("term", "idf"), on="term", how="inner") \
         .withColumn("w", F.col("tf") * F.col("idf"))
-    norms = w.groupBy("doc").agg(F.sqrt(F.sum(F.col("w") ** 2)).alias("__norm"))
-    return w.join(norms, on="doc").select("doc", "term", (F.col("w") / F.col("__norm")).alias("w"))
+    # the norm is a window over one document's terms (bounded by its length)
+    norm = F.sqrt(F.sum(F.col("w") ** 2).over(Window.partitionBy("doc")))
+    return w.select("doc", "term", (F.col("w") / norm).alias("w"))
 
 
 def matrix_stats(weights: DataFrame, n_docs: int, vocab: DataFrame) -> DataFrame:
