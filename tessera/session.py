@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -45,8 +46,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder used to cut lineage.
 
     Reads ``spark.checkpoint.dir`` from the session (set by the cluster to a
-    shared file system). Only when it is unset — local runs and tests — a
-    fresh folder under the system temp dir is created and registered.
+    shared file system). Only when it is unset in a one-process ``local``
+    session (tests) a fresh temporary folder is created and registered; a
+    cluster without the setting gets an error instead of a machine-local path.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
@@ -58,12 +60,35 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that driver and executors share")
     local = tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
+_SHIPPED = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers once per application, so that
+    functions pickled by reference import there too."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-zip-"), "tessera.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tessera", os.path.relpath(path, root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def reliable_checkpoint(df):
     """``DataFrame.checkpoint`` into the shared folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
