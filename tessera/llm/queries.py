@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import kd_shards as kd
+from tessera.llm import line_dedup as ld
 from tessera.llm.common import documents
 
 QUERIES: dict = {}
@@ -27,3 +28,12 @@ def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                        [F.col("doc_id"), crc.alias("text_crc32")], n_shards=8)
     return out.select("doc_id", "size", F.coalesce("text_crc32", F.lit(0)).alias("text_crc32"),
                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with repeated three-line windows removed."""
+    return ld.line_dedup(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLE_SQL["op2_line_dedup"] = ld.ORACLE_SQL
