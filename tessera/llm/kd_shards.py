@@ -63,7 +63,7 @@ def points(df: DataFrame, dims: list[Column], weight: Column, carry: list[Column
     """The slim table the tree works on: carried columns, weight, coordinates."""
     return df.select(*carry, weight.cast("long").alias("__w"), F.array(*dims).alias("__x")) \
         .withColumn("__h", F.shiftrightunsigned(F.xxhash64("*"), 3)) \
-        .withColumn("__r", F.monotonically_increasing_id())
+        .withColumns({"__r": F.monotonically_increasing_id(), "__node": F.lit(0)})
 
 
 def _bucket(key: Column, lo: Column, step: Column) -> Column:
@@ -81,7 +81,7 @@ def kd_shards(df: DataFrame, dims: list[Column], weight: Column, carry: list[Col
     rows and ties are separated by hash and row number; an empty table gives no
     rows. A single row heavier than the target is a leaf of its own."""
     names = [c for c in df.select(*carry).columns]
-    rows = cut(points(df, dims, weight, carry), "kd-points").withColumn("__node", F.lit(0))
+    rows = cut(points(df, dims, weight, carry), "kd-points")
     spark = df.sparkSession
     n_dims = len(dims)
     extent_cols = [f for d in range(n_dims) for f in

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
+from tessera.llm import simhash as sh
 from tessera.llm.common import documents
 
 QUERIES: dict = {}
@@ -37,3 +38,11 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op2_line_dedup"] = ld.ORACLE_SQL
+
+
+@register
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate class of every document: 3-word shingles,
+    at most 3 differing bits."""
+    return sh.simhash_components(documents(spark, sf_dir), shingle=3, radius=3) \
+        .select("doc_id", "fingerprint", "component_id")
