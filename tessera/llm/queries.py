@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
 from tessera.llm import simhash as sh
@@ -46,3 +47,12 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     at most 3 differing bits."""
     return sh.simhash_components(documents(spark, sf_dir), shingle=3, radius=3) \
         .select("doc_id", "fingerprint", "component_id")
+
+
+@register
+def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every whole document by the byte network, trained outside the
+    held-out fold."""
+    docs = documents(spark, sf_dir)
+    net = cnn.fit(docs.where(~cnn.held_out()))
+    return cnn.predict(docs, net, carry=[F.col("doc_id"), cnn.held_out().alias("held_out")])
