@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
+from tessera.llm import quality_rules as qr
 from tessera.llm import simhash as sh
 from tessera.llm.common import documents
 
@@ -56,3 +57,12 @@ def op4_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     net = cnn.fit(docs.where(~cnn.held_out()))
     return cnn.predict(docs, net, carry=[F.col("doc_id"), cnn.held_out().alias("held_out")])
+
+
+@register
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and the adaptive verdict for every document."""
+    return qr.quality_rules(documents(spark, sf_dir))
+
+
+ORACLE_SQL["op6_quality_rules"] = qr.ORACLE_SQL
