@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import block_names as bn
+from tessera.llm import bpe
 from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
@@ -66,3 +68,21 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op6_quality_rules"] = qr.ORACLE_SQL
+
+
+@register
+def op7_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact-duplicate groups of all documents, white space apart."""
+    return bn.exact_groups(documents(spark, sf_dir)) \
+        .select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+ORACLE_SQL["op7_block_naming"] = bn.ORACLE_SQL
+
+
+@register
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole document encoded and decoded with the 49k word BPE."""
+    import public_tokenizers
+    return bpe.token_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
+                             carry=[F.col("doc_id")])
