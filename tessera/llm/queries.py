@@ -10,7 +10,9 @@ from tessera.llm import bpe
 from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
+from tessera.llm import packing
 from tessera.llm import quality_rules as qr
+from tessera.llm import secret_scan as ss
 from tessera.llm import simhash as sh
 from tessera.llm.common import documents
 
@@ -86,3 +88,15 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe.token_digests(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"),
                              carry=[F.col("doc_id")])
+
+
+@register
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base and linked secret spans of every whole document."""
+    return ss.secret_digests(documents(spark, sf_dir))
+
+
+@register
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of 512 to 8192 tokens."""
+    return packing.best_fit_packing(documents(spark, sf_dir), [F.col("doc_id")], packing.word_tokens())
