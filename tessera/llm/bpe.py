@@ -167,7 +167,7 @@ def _apply(df, path, text, carry, schema, digest):
     spark = df.sparkSession
     prepare(spark)
     shared = spark.sparkContext.broadcast(WordBPE.load(path))
-    slim = df.select(*carry, F.col(text).alias("text"))
+    slim = df.select(*carry, F.col(text).alias("__text"))
     kept = slim.columns[:-1]
     out_schema = slim.select(*kept).schema
     for f in schema.split(", "):
@@ -176,7 +176,7 @@ def _apply(df, path, text, carry, schema, digest):
     def run(batches):
         bpe = _WORKER.setdefault(path, shared.value)
         sha = lambda s: hashlib.sha256(s.encode("utf-8")).hexdigest()
-        for rb, _, _ in text_blocks(batches, "text"):
+        for rb, _, _ in text_blocks(batches, "__text"):
             docs = [bpe.words(t or "") for t in rb.column(len(kept)).to_pylist()]
             bpe.learn(set().union(*docs))
             n, ids, dec = [], [], []

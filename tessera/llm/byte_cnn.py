@@ -205,13 +205,13 @@ def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[
     sorts first. Rows are independent, so repeated rows agree."""
     prepare(df.sparkSession)
     slim = df.select(*carry, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"),
-                     F.col(text).alias("text"))
+                     F.col(text).alias("__text"))
     kept = slim.columns[:-2]
     schema = slim.select(*kept).schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches):
         score = Scorer(net) if net else None
-        for rb, b, off in text_blocks(batches, "text", 1 << 20):
+        for rb, b, off in text_blocks(batches, "__text", 1 << 20):
             n = rb.num_rows
             letter = rb.column(len(kept)).to_numpy(zero_copy_only=False)
             p = np.zeros((n, len(net.labels) if net else 1))
@@ -231,6 +231,15 @@ def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[
     return slim.mapInArrow(run, schema)
 
 
+def keep_known(df: DataFrame, net: ByteCNN | None, text: str = "text", least: float = 0.0) -> DataFrame:
+    """The rows of ``df`` whose language is known with a score of at least
+    ``least``; all columns pass through whatever their names."""
+    names = df.columns
+    carry = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)]
+    return predict(df, net, text, carry).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)) \
+        .select(*[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)])
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """Fixed rule of the fold: crc32 of the id as text, modulo 4, equals 2."""
     crc = F.crc32(F.col(id_col).cast("string").cast("binary"))

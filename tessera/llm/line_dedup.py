@@ -59,9 +59,10 @@ def covered_lines(df: DataFrame, id_col: str = "doc_id", text: str = "text", win
     return later.groupBy("doc_id", "text_key").agg(F.collect_set("pos").alias("starts"))
 
 
-def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = 3) -> DataFrame:
-    """``df`` with ``text`` rebuilt and two more columns, ``n_lines`` and
-    ``n_removed`` (0 for a null text, which stays null).
+def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", window: int = 3,
+               report: bool = True) -> DataFrame:
+    """``df`` with ``text`` rebuilt and, if ``report``, two more columns,
+    ``n_lines`` and ``n_removed`` (0 for a null text, which stays null).
 
     First occurrence: smallest (doc_id, line number). Rows that share a doc_id,
     or have none (they come last), count as one document for that order, so a
@@ -79,10 +80,10 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", window
     rebuilt = F.array_join(F.transform(F.col("__kept"), lambda i: F.get(lines, i)), "\n")
     n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
     return j.withColumn("__kept", F.when(F.col("__s").isNotNull(), kept)) \
-        .withColumns({"n_lines": n_lines.cast("long"),
-                      "n_removed": F.when(F.col("__s").isNull(), 0).otherwise(n_lines - F.size("__kept")).cast("long")}) \
+        .withColumns({"__n_lines": n_lines.cast("long"),
+                      "__n_removed": F.when(F.col("__s").isNull(), 0).otherwise(n_lines - F.size("__kept")).cast("long")}) \
         .withColumn(text, F.when(F.col("__s").isNull(), F.col(text)).otherwise(rebuilt)) \
-        .select(*[c for c in df.columns], "n_lines", "n_removed")
+        .select(*df.columns, *[F.col(c).alias(c[2:]) for c in ("__n_lines", "__n_removed") if report])
 
 
 ORACLE_SQL = r"""
