@@ -14,6 +14,7 @@ from tessera.llm import packing
 from tessera.llm import quality_rules as qr
 from tessera.llm import secret_scan as ss
 from tessera.llm import simhash as sh
+from tessera.llm import substring_dedup as sd
 from tessera.llm.common import documents
 
 QUERIES: dict = {}
@@ -100,3 +101,10 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 512 to 8192 tokens."""
     return packing.best_fit_packing(documents(spark, sf_dir), [F.col("doc_id")], packing.word_tokens())
+
+
+@register
+def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of 13-word runs seen in an earlier one."""
+    return sd.substring_digests(documents(spark, sf_dir), window=13) \
+        .select("doc_id", "n_words", "n_removed", "kept_sha256")
