@@ -8,9 +8,9 @@ and a 64-bit hash of all ``window`` words, never the words themselves.
 
 1. *Copies.* Rows with equal word sequences (SHA-256) are one content; its
    smallest doc_id stands for it, the later rows are covered whole.
-2. *Sampling, exact.* Equal windows hold the same five-word grams, hence the
-   same least gram. A window can repeat only if its least gram occurs in two
-   contents, so only the least grams (about a fifth of the words) are met over
+2. *Sampling, exact.* Equal windows hold the same grams of GRAM words, hence
+   the same least gram. A window can repeat only if its least gram occurs in two
+   contents, so only the least grams (about a quarter of the words) are met over
    the table. A batch that sees a gram in several contents reports it as
    repeated itself and sends one row, so a passage found in a third of all
    documents arrives as one row per batch.
@@ -45,9 +45,10 @@ from tessera.llm.common import (cut, mix64, null_safe, prepare, row_key, text_bl
                                 words_of)
 
 WINDOW = 13
-GRAM = 5
+GRAM = 8                     # shorter grams repeat by chance, longer ones are sampled more densely
 PREFIX_WORDS = 7
 CODE_BITS = 9
+KIND = 48
 GROUP_SUFFIXES = 2_000_000
 NO_ID = 2 ** 63 - 1
 _STEP = np.uint64(0xD6E8FEB86659FD93)
@@ -73,7 +74,7 @@ class _Block:
         return out
 
     def least_grams(self, window: int) -> np.ndarray:
-        """For each window, its least five-word gram (48 bits)."""
+        """For each window, its least gram (48 bits)."""
         g = window_hashes(self.h, GRAM)
         span, low, width = window - GRAM + 1, g, 1
         while width * 2 <= span:
@@ -144,9 +145,6 @@ def repeated_grams(df: DataFrame, text: str = "text", window: int = WINDOW) -> D
     content too."""
     prepare(df.sparkSession)
 
-    def emit(h, c, kind):
-        return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(kind.astype(np.int8))], ["gram", "content", "kind"])
-
     def runs_of(h, c):
         """Sorted by (gram, content), duplicates dropped; run starts, run of each row."""
         order = np.lexsort((c, h))
@@ -166,13 +164,16 @@ def repeated_grams(df: DataFrame, text: str = "text", window: int = WINDOW) -> D
             stay = np.concatenate([[True], (h[1:] != h[:-1]) | (c[1:] != c[:-1])])
             h, c, lead, run, _ = runs_of(h[stay], c[stay])
             several = np.bincount(run)[run] > 1
-            yield emit(h, c, np.where(lead, several, 2))      # 0: one content here, 1: stands for several, 2: need not meet
+            # above the 48 bits of the gram, 0: one content here, 1: stands for several, 2: need not meet
+            h = h | (np.where(lead, several, 2).astype(np.int64) << KIND)
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c)], ["gram", "content"])
 
     def meet(batches):
-        parts = [(rb.column(0).to_numpy(), rb.column(1).to_numpy(), rb.column(2).to_numpy()) for rb in batches if rb.num_rows]
+        parts = [(rb.column(0).to_numpy(), rb.column(1).to_numpy()) for rb in batches if rb.num_rows]
         if not parts:
             return
-        h, c, kind = (np.concatenate(x) for x in zip(*parts))
+        h, c = (np.concatenate(x) for x in zip(*parts))
+        kind, h = h >> KIND, h & ((1 << KIND) - 1)
         known = kind == 2
         yield pa.RecordBatch.from_arrays([pa.array(c[known]), pa.array(h[known])], ["content", "gram"])
         h, c, kind = h[~known], c[~known], kind[~known]
@@ -185,8 +186,9 @@ def repeated_grams(df: DataFrame, text: str = "text", window: int = WINDOW) -> D
         hit = flag | (np.bincount(run)[run] > 1)
         yield pa.RecordBatch.from_arrays([pa.array(c[hit]), pa.array(h[hit])], ["content", "gram"])
 
-    rows = df.select(F.col(text).alias("text")).mapInArrow(sample, "gram long, content long, kind tinyint")
-    return rows.repartition(F.when(F.col("kind") == 2, F.col("content")).otherwise(F.col("gram"))) \
+    rows = df.select(F.col(text).alias("text")).mapInArrow(sample, "gram long, content long")
+    settled = F.shiftright("gram", KIND) == 2
+    return rows.repartition(F.when(settled, F.col("content")).otherwise(F.col("gram").bitwiseAND(F.lit((1 << KIND) - 1)))) \
         .mapInArrow(meet, "content long, gram long") \
         .groupBy("content").agg(F.collect_set("gram").alias("grams"))
 
