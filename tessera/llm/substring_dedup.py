@@ -196,7 +196,7 @@ def repeated_grams(df: DataFrame, text: str = "text", window: int = WINDOW) -> D
 def packed_texts(df: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, text_key, packed): texts compressed for the shuffle."""
     def run(batches):
-        press = zstandard.ZstdCompressor(level=3)
+        press = zstandard.ZstdCompressor(level=6)
         for rb, b, off in text_blocks(batches, "text"):
             raw, o = b.tobytes(), off.tolist()
             yield pa.RecordBatch.from_arrays(
