@@ -16,6 +16,7 @@ partly filled bins a group, i.e. a few in GROUP_ITEMS.
 from __future__ import annotations
 
 from bisect import bisect_left, insort
+from heapq import heappop, heappush
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -65,7 +66,8 @@ def _open(size: int, waiting: list[int], count: dict[int, int], lengths) -> int:
 
 def pack(sizes: list[int], lengths=LENGTHS) -> tuple[list[int], list[int], list[int]]:
     """Per item: bin, offset in the bin, final length of the bin. Sizes are 1 to
-    max(lengths); equal sizes keep their order."""
+    max(lengths); equal sizes keep their order, of equally tight bins the one
+    opened first is taken."""
     lengths = sorted(lengths)
     order = sorted(range(len(sizes)), key=lambda i: (-sizes[i], i))
     count: dict[int, int] = {}
@@ -85,7 +87,7 @@ def pack(sizes: list[int], lengths=LENGTHS) -> tuple[list[int], list[int], list[
         k = bisect_left(rooms, s)
         if k < len(rooms):
             room = rooms[k]
-            b = by_room[room].pop()
+            b = heappop(by_room[room])
             if not by_room[room]:
                 del by_room[room]
                 rooms.pop(k)
@@ -100,7 +102,7 @@ def pack(sizes: list[int], lengths=LENGTHS) -> tuple[list[int], list[int], list[
             if room not in by_room:
                 by_room[room] = []
                 insort(rooms, room)
-            by_room[room].append(b)
+            heappush(by_room[room], b)
     final = [_smallest(lengths, u) for u in used]
     return bins, offsets, [final[b] for b in bins]
 

@@ -200,8 +200,8 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
              radius: int = 3) -> DataFrame:
     """``df`` with one row of each component: the one with the smallest doc_id
-    (a component without doc_ids keeps its row of least text key); of rows equal
-    in doc_id and text, one stays."""
+    (rows of a component without doc_ids: one per fingerprint, of least text
+    key); of rows equal in doc_id and text, one stays."""
     found = simhash_components(df, id_col, text, shingle, radius)
     known = found.where("component_id IS NOT NULL").where("doc_id = component_id") \
         .groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
