@@ -2,10 +2,9 @@
 
 ``randomSplit`` and ``rand`` depend on the partition layout, so a split made
 with them changes when the cluster changes. Here a row's draw is a pure
-function of (id, seed): one step of the Lehmer (Park–Miller) generator on the
-id reduced modulo 2^31 − 1, then a second step to mix the seed in. Products
-stay below 2^47, so the arithmetic never overflows a 64-bit long, and the same
-integer expression runs in any SQL engine (the DuckDB oracle uses it too).
+function of (id, seed): the first 13 hex digits (52 bits) of the MD5 of
+``seed:id``. MD5 mixes every input bit, so two seeds give unrelated orders, and
+the same expression runs in any SQL engine (the DuckDB oracle uses it too).
 """
 
 from __future__ import annotations
@@ -13,28 +12,26 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Park–Miller modulus and multiplier.
-MODULUS = 2147483647
-MULTIPLIER = 48271
+HEX_DIGITS = 13
+RANGE = 16 ** HEX_DIGITS
 
 
 def row_hash(id_col: Column | str, seed: int = 0) -> Column:
-    """Integer in [0, 2^31 − 1) determined by (id, seed)."""
+    """Integer in [0, 2^52) determined by (id, seed)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    h1 = F.pmod(F.pmod(c.cast("long"), F.lit(MODULUS)) * MULTIPLIER + F.lit(int(seed)), F.lit(MODULUS))
-    return F.pmod(h1 * MULTIPLIER + F.lit(12345), F.lit(MODULUS))
+    digest = F.md5(F.concat(F.lit(f"{int(seed)}:"), c.cast("string")).cast("binary"))
+    return F.conv(F.substring(digest, 1, HEX_DIGITS), 16, 10).cast("long")
 
 
 def row_uniform(id_col: Column | str, seed: int = 0) -> Column:
     """Uniform-like double in [0, 1) determined by (id, seed)."""
-    return row_hash(id_col, seed) / F.lit(float(MODULUS))
+    return row_hash(id_col, seed) / F.lit(float(RANGE))
 
 
 def row_hash_sql(id_expr: str, seed: int = 0) -> str:
     """The same hash as an SQL expression (for oracles)."""
-    h1 = f"((({id_expr}) % {MODULUS} + {MODULUS}) % {MODULUS} * {MULTIPLIER} + {int(seed)}) % {MODULUS}"
-    return f"(({h1}) * {MULTIPLIER} + 12345) % {MODULUS}"
+    return f"CAST('0x' || substr(md5(concat('{int(seed)}:', {id_expr})), 1, {HEX_DIGITS}) AS BIGINT)"
 
 
 def row_uniform_sql(id_expr: str, seed: int = 0) -> str:
-    return f"(({row_hash_sql(id_expr, seed)}) / {float(MODULUS)})"
+    return f"(({row_hash_sql(id_expr, seed)}) / {float(RANGE)!r})"

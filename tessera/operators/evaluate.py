@@ -174,13 +174,15 @@ def coverage_by_threshold(df: DataFrame, truth: str, pred: str, confidence: str,
 
 # ---------------------------------------------------------------------- E-11
 def paired_bootstrap_f1(df: DataFrame, truth: str, pred_a: str, pred_b: str, n_boot: int = 3000,
-                        seed: int = 42, alpha: float = 0.05) -> dict:
-    """E-11: paired bootstrap of macro-F1(b) − macro-F1(a).
+                        seed: int = 42, alpha: float = 0.05, metric: str = "f1_macro") -> dict:
+    """E-11: paired bootstrap of macro-F1(a) − macro-F1(b); ``metric`` may also be
+    ``accuracy`` or ``balanced_accuracy``.
 
     Resampling rows with replacement only changes how many times each
     (truth, a, b) cell is drawn, so the data work is one ``groupBy`` of the
     three labels; replicates are multinomial draws over those few cells. The
-    p-value is the two-sided share of replicates on the other side of zero.
+    p-value is twice the share of replicates on the other side of zero (at most
+    1), and the difference is significant if p < alpha.
     """
     cells = df.groupBy(truth, pred_a, pred_b).agg(F.count(F.lit(1)).alias("n")).collect()
     keys = [(r[truth], r[pred_a], r[pred_b]) for r in cells]
@@ -201,18 +203,27 @@ def paired_bootstrap_f1(df: DataFrame, truth: str, pred_a: str, pred_b: str, n_b
             f1s.append(np.where(denom > 0, 2 * tp / np.where(denom > 0, denom, 1), 0.0))
         return np.mean(f1s, axis=0)
 
-    observed = float(macro_f1(counts, 2) - macro_f1(counts, 1))
-    diffs = macro_f1(draws, 2) - macro_f1(draws, 1)
+    def accuracy(w, which):
+        right = sum(w[..., i] for i, k in enumerate(keys) if k[0] == k[which])
+        return np.asarray(right, dtype=float) / np.sum(w, axis=-1)
+
+    def balanced(w, which):
+        recalls = []
+        for c in classes:
+            own = np.asarray(sum(w[..., i] for i, k in enumerate(keys) if k[0] == c), dtype=float)
+            hit = np.asarray(sum(w[..., i] for i, k in enumerate(keys) if k[0] == c and k[which] == c), dtype=float)
+            recalls.append(np.where(own > 0, hit / np.where(own > 0, own, 1), np.nan))
+        return np.nanmean(recalls, axis=0)
+
+    score = {"f1_macro": macro_f1, "accuracy": accuracy, "balanced_accuracy": balanced}[metric]
+    observed = float(score(counts, 1) - score(counts, 2))
+    diffs = score(draws, 1) - score(draws, 2)
     lo, hi = np.percentile(diffs, [100 * alpha / 2, 100 * (1 - alpha / 2)])
-    if observed > 0:
-        p = 2 * float(np.mean(diffs <= 0))
-    elif observed < 0:
-        p = 2 * float(np.mean(diffs >= 0))
-    else:
-        p = 1.0
-    p = min(1.0, p)
+    against = np.mean(diffs <= 0) if observed >= 0 else np.mean(diffs >= 0)
+    p = min(1.0, 2 * float(against))
     return {"observed_diff": observed, "ci_low": float(lo), "ci_high": float(hi),
-            "p_value": p, "significant": bool(p < alpha and not (lo <= 0 <= hi)), "n_boot": n_boot}
+            "p_value": p, "significant": bool(p < alpha), "n_boot": n_boot,
+            "metric": metric}
 
 
 # ---------------------------------------------------------------------- E-12
@@ -245,7 +256,8 @@ def paired_bootstrap_rmse(df: DataFrame, y: str, pred_a: str, pred_b: str, n_boo
     (row id, seed) so the draw does not depend on partitioning; every task
     reduces its rows to per-replicate sums (Σw, Σw·e_a², Σw·e_b²) with
     ``mapInPandas`` and only those vectors are summed — the data never moves.
-    p = share of replicates with a difference ≤ 0 (one-sided, as in the study).
+    p is two-sided, twice the smaller share of replicates on either side of zero
+    (at most 1); significant if the interval leaves out zero.
     """
     import pandas as pd
 
@@ -274,8 +286,10 @@ def paired_bootstrap_rmse(df: DataFrame, y: str, pred_a: str, pred_b: str, n_boo
     obs = df.agg(F.sqrt(F.avg((F.col(y) - F.col(pred_a)) ** 2)).alias("a"),
                  F.sqrt(F.avg((F.col(y) - F.col(pred_b)) ** 2)).alias("b")).first()
     lo, hi = np.percentile(diffs, [100 * alpha / 2, 100 * (1 - alpha / 2)])
-    return {"observed_diff": float(obs["a"] - obs["b"]), "ci_low": float(lo), "ci_high": float(hi),
-            "p_value": float(np.mean(diffs <= 0)), "n_boot": int(ok.sum())}
+    return {"rmse_a": float(obs["a"]), "rmse_b": float(obs["b"]),
+            "observed_diff": float(obs["a"] - obs["b"]), "ci_low": float(lo), "ci_high": float(hi),
+            "p_value": min(1.0, 2 * float(min(np.mean(diffs >= 0), np.mean(diffs < 0)))),
+            "significant": not lo <= 0 <= hi, "n_boot": int(ok.sum())}
 
 
 def bootstrap_table(spark, result: dict) -> DataFrame:

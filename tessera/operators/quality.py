@@ -277,27 +277,23 @@ def impute_mean(train: DataFrame, test: DataFrame, cols) -> tuple[DataFrame, Dat
     return fill(train), fill(test), report
 
 
-def impute_array_mean(train: DataFrame, test: DataFrame, id_col: str, vec_col: str):
-    """F-13 for array columns: per-dimension train mean fills NaN/NULL entries.
-
-    ``posexplode`` → per-dimension mean (one partial aggregate; dims are few)
-    → joined back by dimension → array rebuilt in position order.
-    """
-    def exploded(df):
-        return df.select(id_col, F.posexplode(vec_col).alias("__d", "__x"))
-
-    means = (exploded(train)
-             .groupBy("__d").agg(F.avg(F.nanvl(F.col("__x").cast("double"), F.lit(None))).alias("__m")))
+def impute_array_mean(train: DataFrame, test: DataFrame, vec_col: str):
+    """F-13 for array columns: NaN and NULL entries become the train mean of
+    their dimension (0 where a dimension has none).
+
+    The means are one aggregate over (dimension, value); they come back as a
+    literal array of the vectors' length and fill every row in place, so no row
+    is lost: NULL vectors stay NULL and empty ones empty."""
+    value = F.when(~F.isnan(F.col("x").cast("double")), F.col("x").cast("double"))
+    means = {r["d"]: r["m"] for r in train.select(F.posexplode(vec_col).alias("d", "x"))
+             .groupBy("d").agg(F.avg(value).alias("m")).collect()}
+    table = F.array(*[F.lit(float(means.get(k) or 0.0)) for k in range(max(means, default=-1) + 1)]) \
+        if means else F.array().cast("array<double>")
 
     def fill(df):
-        filled = (exploded(df).join(means, on="__d", how="left")
-                  .select(id_col, "__d",
-                          F.when(F.col("__x").isNull() | F.isnan("__x"), F.col("__m"))
-                          .otherwise(F.col("__x").cast("double")).alias("__x")))
-        rebuilt = (filled.groupBy(id_col)
-                   .agg(F.array_sort(F.collect_list(F.struct("__d", "__x"))).alias("__s"))
-                   .select(id_col, F.col("__s.__x").alias(vec_col)))
-        return df.drop(vec_col).join(rebuilt, on=id_col, how="inner")
+        filled = F.transform(vec_col, lambda x, i: F.when(
+            x.isNotNull() & ~F.isnan(x.cast("double")), x.cast("double")).otherwise(F.coalesce(F.get(table, i), F.lit(0.0))))
+        return df.withColumn(vec_col, filled)
 
     return fill(train), fill(test)
 

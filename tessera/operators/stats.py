@@ -186,7 +186,7 @@ def target_correlations(df: DataFrame, cols, target: str) -> DataFrame:
 
 def greedy_decorrelate(df: DataFrame, cols, target: str, threshold: float) -> DataFrame:
     """P-11: keep features in order of |corr with target|, skipping any whose
-    |corr| with an already kept feature exceeds ``threshold``.
+    |corr| with an already kept feature reaches ``threshold``.
 
     The distributed part is one aggregate of all pairwise correlations; the
     greedy pass runs over that p × p result (bounded by the feature count).
@@ -197,7 +197,7 @@ def greedy_decorrelate(df: DataFrame, cols, target: str, threshold: float) -> Da
     order = sorted(cols, key=lambda c: (-(tgt[c] or 0.0), c))
     kept = []
     for c in order:
-        if all(abs(pair.get((c, k), pair.get((k, c))) or 0.0) <= threshold for k in kept):
+        if all(abs(pair.get((c, k), pair.get((k, c))) or 0.0) < threshold for k in kept):
             kept.append(c)
     rows = [(c, i, float(tgt[c] or 0.0), c in kept) for i, c in enumerate(order)]
     return df.sparkSession.createDataFrame(rows, "feature string, order_by_target int, abs_r double, kept boolean")

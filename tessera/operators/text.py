@@ -68,16 +68,10 @@ def decode(df: DataFrame, col: str, mapping: dict, out: str) -> DataFrame:
 
 # ---------------------------------------------------------------- X-03 / X-04
 def postings(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(doc, term, tf) from the token rule.
-
-    Tokenising is the CPU-heavy step and runs in the tasks that produce the
-    texts. A scan of a few large row groups gives fewer tasks than cores;
-    only then the (id, text) rows are spread round-robin first. On a cluster
-    input splits far outnumber the cores and no shuffle is added."""
+    """(doc, term, tf) from the token rule. Tokenising is the CPU-heavy step and
+    runs in the tasks that scan the texts; their number follows
+    ``spark.sql.files.maxPartitionBytes``."""
     src = df.select(F.col(id_col).alias("doc"), F.col(text).alias("__text"))
-    cores = src.sparkSession.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() < cores:
-        src = src.repartition(cores)
     return (src.select("doc", F.explode(tokens("__text")).alias("term"))
             .groupBy("doc", "term").agg(F.count(F.lit(1)).alias("tf")))
 
@@ -182,7 +176,7 @@ def cosine_pairs(test_w: DataFrame, train_w: DataFrame, vocab: DataFrame, thresh
 
 
 def near_duplicates(train: DataFrame, test: DataFrame, id_col: str, text: str, threshold: float = 0.9,
-                    max_features: int = 20000) -> tuple[DataFrame, DataFrame]:
+                    max_features: int | None = None) -> tuple[DataFrame, DataFrame]:
     """X-06: for each test text, the best train cosine if it reaches the
     threshold; and the summary (n_test, n_near_duplicate, pct).
 

@@ -28,36 +28,33 @@ def with_position(df: DataFrame, series: str, ts: str, out: str = "pos") -> Data
 
 
 # ------------------------------------------------------------ W-01 … W-08
+def feature_spec(w, ts: str = "ds", value: str = "close", volume: str = "volume", lags=LAGS, windows=WINDOWS) -> dict:
+    """W-01 … W-06 as one ordered specification, name -> column: lags, trailing
+    mean and deviation that exclude the current row (NULL until the window is
+    full), lagged returns, calendar parts (Monday = 0), lagged volume."""
+    def back(k, c=value):
+        return F.lag(c, k).over(w)
+
+    def trailing(n, agg):
+        frame = w.rowsBetween(-n, -1)
+        return F.when(F.count(value).over(frame) == n, agg(value).over(frame))
+
+    spec = {f"lag_{k}": back(k) for k in lags}
+    for n in windows:
+        spec |= {f"roll_mean_{n}": trailing(n, F.avg), f"roll_std_{n}": trailing(n, F.stddev_samp)}
+    return spec | {"return_1": back(1) / back(2) - 1, "return_5": back(1) / back(6) - 1, "dow": F.weekday(ts),
+                   "day": F.dayofmonth(ts), "month": F.month(ts), "volume_lag1": back(1, volume)}
+
+
 def feature_columns(lags=LAGS, windows=WINDOWS) -> list[str]:
-    """W-08: the 19 feature names in model order."""
-    cols = [f"lag_{k}" for k in lags]
-    for w in windows:
-        cols += [f"roll_mean_{w}", f"roll_std_{w}"]
-    return cols + ["return_1", "return_5", "dow", "day", "month", "volume_lag1"]
+    """W-08: the feature names in model order, read off the specification."""
+    return list(feature_spec(_w("series_id", "ds"), lags=lags, windows=windows))
 
 
 def build_features(df: DataFrame, series: str = "series_id", ts: str = "ds", value: str = "close",
                    volume: str = "volume", lags=LAGS, windows=WINDOWS) -> DataFrame:
-    """W-01 … W-06: lags, trailing rolling mean/std that exclude the current
-    row (NULL until the window is full), lagged returns, calendar parts
-    (Monday = 0) and lagged volume."""
-    w = _w(series, ts)
-    out = df
-    for k in lags:
-        out = out.withColumn(f"lag_{k}", F.lag(value, k).over(w))
-    for n in windows:
-        frame = w.rowsBetween(-n, -1)
-        full = F.count(F.col(value)).over(frame) == n
-        out = out.withColumn(f"roll_mean_{n}", F.when(full, F.avg(value).over(frame))) \
-                 .withColumn(f"roll_std_{n}", F.when(full, F.stddev_samp(value).over(frame)))
-    lag1 = F.lag(value, 1).over(w)
-    out = out.withColumn("return_1", lag1 / F.lag(value, 2).over(w) - 1) \
-             .withColumn("return_5", lag1 / F.lag(value, 6).over(w) - 1) \
-             .withColumn("dow", F.weekday(ts)) \
-             .withColumn("day", F.dayofmonth(ts)) \
-             .withColumn("month", F.month(ts)) \
-             .withColumn("volume_lag1", F.lag(volume, 1).over(w))
-    return out
+    """``df`` with every column of :func:`feature_spec`."""
+    return df.withColumns(feature_spec(_w(series, ts), ts, value, volume, lags, windows))
 
 
 def direct_targets(df: DataFrame, series: str = "series_id", ts: str = "ds", value: str = "close",

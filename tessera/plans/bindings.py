@@ -64,29 +64,32 @@ customer_profile AS (
 
 
 def regression_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Line items with part attributes (the C3 regression stand-in).
-
-    id = order key · 16 + line number; y = extended price.
+    """Orders summed over their lines and parts (the C3 regression stand-in):
+    id = order key, unique; y = extended price of the order, which grows with
+    its summed quantity and list price. Sums run over whole cents, so their
+    order cannot change them.
     """
     l = table(spark, d, "lineitem")
     p = table(spark, d, "part")
+    cents = lambda c: F.sum(F.round(F.col(c) * 100).cast("long")) / F.lit(100.0)
+    n = F.count(F.lit(1))
     return (l.join(p, l.l_partkey == p.p_partkey, "inner")
-            .select((F.col("l_orderkey") * 16 + F.col("l_linenumber")).alias("id"),
-                    F.col("l_quantity").alias("quantity"),
-                    F.col("l_discount").alias("discount"),
-                    F.col("l_tax").alias("tax"),
-                    F.col("p_size").cast("double").alias("size"),
-                    F.col("p_retailprice").alias("retail_price"),
-                    F.col("l_returnflag").alias("return_flag"),
-                    F.col("l_extendedprice").alias("y")))
+            .groupBy(F.col("l_orderkey").alias("id"))
+            .agg(cents("l_quantity").alias("quantity"), (cents("l_discount") / n).alias("discount"),
+                 (cents("l_tax") / n).alias("tax"), (F.sum("p_size") / n).alias("size"),
+                 cents("p_retailprice").alias("retail_price"), F.max("l_returnflag").alias("return_flag"),
+                 cents("l_extendedprice").alias("y")))
 
 
 REGRESSION_ROWS_SQL = """
 regression_rows AS (
-  SELECT l.l_orderkey * 16 + l.l_linenumber AS id, l.l_quantity AS quantity,
-         l.l_discount AS discount, l.l_tax AS tax, CAST(p.p_size AS DOUBLE) AS size,
-         p.p_retailprice AS retail_price, l.l_returnflag AS return_flag, l.l_extendedprice AS y
-  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+  SELECT l.l_orderkey AS id, sum(CAST(round(l.l_quantity * 100) AS BIGINT)) / 100.0::DOUBLE AS quantity,
+         sum(CAST(round(l.l_discount * 100) AS BIGINT)) / 100.0::DOUBLE / count(*) AS discount,
+         sum(CAST(round(l.l_tax * 100) AS BIGINT)) / 100.0::DOUBLE / count(*) AS tax,
+         CAST(sum(p.p_size) AS DOUBLE) / count(*) AS size,
+         sum(CAST(round(p.p_retailprice * 100) AS BIGINT)) / 100.0::DOUBLE AS retail_price,
+         max(l.l_returnflag) AS return_flag, sum(CAST(round(l.l_extendedprice * 100) AS BIGINT)) / 100.0::DOUBLE AS y
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey GROUP BY l.l_orderkey
 )"""
 
 REGRESSION_FEATURES = ("quantity", "discount", "tax", "size", "retail_price")

@@ -190,5 +190,5 @@ def e11_bootstrap_f1_vs_majority(spark, d):
     s = _split(spark, d)
     maj = M.majority_class(s.filter("split = 'train'"), "label")
     p = _predictions(spark, d).withColumn("base", F.lit(maj))
-    res = E.paired_bootstrap_f1(p, "truth", "base", "pred", n_boot=3000, seed=42)
+    res = E.paired_bootstrap_f1(p, "truth", "pred", "base", n_boot=3000, seed=42)
     return E.bootstrap_table(spark, res)

@@ -162,11 +162,12 @@ def q13_period_coverage(spark, d):
 
 # F-03 / F-04 ----------------------------------------------------------------
 @query("f04_spend_share", with_sql(CUSTOMER_PROFILE_SQL) + """
-SELECT plan, count(*) AS n, avg(ticket / income) AS mean_ratio, stddev_samp(ticket / income) AS std_ratio
-FROM customer_profile WHERE income > 0 GROUP BY plan""", doubles=["mean_ratio", "std_ratio"])
+SELECT plan, count(*) AS n, avg(ticket / nullif(income, 0)) AS mean_ratio,
+       stddev_samp(ticket / nullif(income, 0)) AS std_ratio
+FROM customer_profile GROUP BY plan""", doubles=["mean_ratio", "std_ratio"])
 def f04_spend_share(spark, d):
-    """Ticket as a share of income (F-04), per plan, positive incomes only."""
-    p = customer_profile(spark, d).filter("income > 0").withColumn("ratio", F.col("ticket") / F.col("income"))
+    """Ticket as a share of income (F-04), per plan; NULL where income is 0."""
+    p = customer_profile(spark, d).withColumn("ratio", F.expr("try_divide(ticket, income)"))
     return p.groupBy("plan").agg(F.count(F.lit(1)).alias("n"), F.avg("ratio").alias("mean_ratio"),
                                  F.stddev_samp("ratio").alias("std_ratio"))
 
