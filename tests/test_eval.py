@@ -19,12 +19,14 @@ def test_identical_models_not_significant(spark):
 
 def test_clearly_worse_model_is_significant(spark):
     rnd = random.Random(0)
-    truth = [rnd.randint(0, 1) for _ in range(500)]
-    worse = [1 - t if rnd.random() < 0.45 else t for t in truth]
+    truth = [rnd.randint(0, 2) for _ in range(360)]
+    worse = [(t + 1) % 3 if rnd.random() < 0.3 else t for t in truth]
     df = spark.createDataFrame([(i, t, t, w) for i, (t, w) in enumerate(zip(truth, worse))],
                                "id long, truth int, good int, bad int")
     res = E.paired_bootstrap_f1(df, "truth", "good", "bad", n_boot=1000)
-    assert res["observed_diff"] < 0 and res["p_value"] < 0.05
+    back = E.paired_bootstrap_f1(df, "truth", "bad", "good", n_boot=1000)
+    assert res["observed_diff"] > 0 and res["p_value"] < 0.05 and res["significant"]
+    assert back["observed_diff"] == -res["observed_diff"] and back["significant"]
 
 
 def test_coverage_falls_with_threshold(spark):
