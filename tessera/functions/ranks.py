@@ -10,26 +10,28 @@ repeated by a third of all rows is one row after the first step.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+BUCKETS = 256                # ranges an order is cut into; a power of two
 
-def _buckets(spark, buckets):
-    if buckets is None:
-        buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "8")))
-    return buckets
 
+def _cuts_below(cuts: str, x: str, buckets: int) -> Column:
+    """How many of the ``buckets`` − 1 ascending cuts lie below ``x``: a binary
+    search whose steps halve."""
+    steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get(F.col(cuts), at + step - 1) < F.col(x), at + step).otherwise(at))
 
-def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int | None = None,
+
+def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int = BUCKETS,
                    descending: bool = False, tie: str | None = None) -> DataFrame:
     """For a table already distinct on (by…, order[, tie]), add ``{c}_before``
     = sum of ``c`` over all rows strictly earlier in (order, tie) within ``by``.
     Equal ``order`` values always share a bucket, so ``tie`` only needs to
-    order rows inside one bucket."""
+    order rows inside one bucket. ``buckets`` is a power of two."""
     by = [by] if isinstance(by, str) else list(by)
     cols = list(cols)
-    buckets = _buckets(distinct.sparkSession, buckets)
     dtype = distinct.schema[order].dataType.typeName()
     if dtype == "date":
         okey = F.unix_date(F.col(order)).cast("double")
@@ -40,10 +42,10 @@ def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int |
     src = distinct.withColumn("__o", -okey if descending else okey)
     if buckets > 1:
         probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-        cuts = src.groupBy(*by).agg(F.percentile_approx("__o", probs, 1000).alias("__cuts"))
+        cuts = src.groupBy(*by).agg(F.percentile_approx("__o", probs, 4 * buckets).alias("__cuts"))
         src = (src.join(cuts, on=by, how="inner") if by else
                src.withColumn("__cuts", F.lit(cuts.first()["__cuts"])))
-        src = src.withColumn("__b", F.size(F.filter("__cuts", lambda c: c < F.col("__o")))).drop("__cuts")
+        src = src.withColumn("__b", _cuts_below("__cuts", "__o", buckets)).drop("__cuts")
     else:
         src = src.withColumn("__b", F.lit(0))
     totals = src.groupBy(*by, "__b").agg(*[F.sum(c).alias(f"__t_{c}") for c in cols])
@@ -60,18 +62,19 @@ def ordered_cumsum(distinct: DataFrame, order: str, cols, by=(), buckets: int |
     return out.drop("__b", "__o", *[f"__off_{c}" for c in cols])
 
 
-def value_ranks(df: DataFrame, value: str, by=(), buckets: int | None = None) -> DataFrame:
-    """Distinct (by…, value) with ``n_ties`` and ``avg_rank`` (1-based) within ``by``."""
+def value_ranks(df: DataFrame, value: str, by=(), buckets: int = BUCKETS, count: str | None = None) -> DataFrame:
+    """Distinct (by…, value) with ``n_ties`` and ``avg_rank`` (1-based) within
+    ``by``; a row of ``df`` stands for ``count`` rows where that is given."""
     by = [by] if isinstance(by, str) else list(by)
     vc = (df.filter(F.col(value).isNotNull())
-          .groupBy(*by, value).agg(F.count(F.lit(1)).alias("n_ties")))
+          .groupBy(*by, value).agg((F.sum(count) if count else F.count(F.lit(1))).alias("n_ties")))
     r = ordered_cumsum(vc, value, ["n_ties"], by, buckets)
     return r.withColumn("avg_rank", F.col("n_ties_before") + (F.col("n_ties") + 1) / 2.0) \
             .drop("n_ties_before")
 
 
 def with_avg_rank(df: DataFrame, value: str, by=(), out: str | None = None,
-                  buckets: int | None = None) -> DataFrame:
+                  buckets: int = BUCKETS) -> DataFrame:
     """Attach the average rank of ``value`` (within ``by``) to every row."""
     by = [by] if isinstance(by, str) else list(by)
     out = out or f"{value}_rank"
@@ -79,10 +82,10 @@ def with_avg_rank(df: DataFrame, value: str, by=(), out: str | None = None,
     return df.join(ranks, on=by + [value], how="left")
 
 
-def exact_quantiles(df: DataFrame, value: str, probs, by=(), buckets: int | None = None,
+def exact_quantiles(df: DataFrame, value: str, probs, by=(), buckets: int = BUCKETS,
                     out: str = "q") -> DataFrame:
     """(by…, ``out`` array<double>): exact quantiles with linear interpolation
-    (position (n − 1)·p, as pandas and SQL ``quantile_cont``), nulls ignored.
+    (position (n − 1)·p, as pandas and SQL ``quantile_cont``), nulls and NaN ignored.
 
     Unlike ``percentile`` — whose final merge holds every distinct value of a
     group in one task — the values are collapsed to (value, count), the
@@ -91,10 +94,9 @@ def exact_quantiles(df: DataFrame, value: str, probs, by=(), buckets: int | None
     picked by one partial aggregate."""
     by = [by] if isinstance(by, str) else list(by)
     probs = [float(p) for p in probs]
-    vc = (df.select(*by, F.col(value).cast("double").alias("__v")).filter(F.col("__v").isNotNull())
+    vc = (df.select(*by, F.col(value).cast("double").alias("__v"))
+          .filter(F.col("__v").isNotNull() & ~F.isnan("__v"))
           .groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    # read four times below (cuts, bucket totals, ranks, group sizes)
-    vc = vc.persist(StorageLevel.MEMORY_AND_DISK)
     r = ordered_cumsum(vc, "__v", ["__c"], by, buckets)
     n = vc.groupBy(*by).agg(F.sum("__c").alias("__n"))
     if by:

@@ -121,7 +121,9 @@ def pca_vector_scores(df: DataFrame, fitted: dict, vec_col: str, keep=()) -> Dat
 
 # ---------------------------------------------------------------- C-03 / C-04
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip").transform(df)
+    """Feature vectors of the rows complete in ``cols``; the others (null or NaN,
+    counted by Q-02) cannot be placed and are left out."""
+    return VectorAssembler(inputCols=list(cols), outputCol=out).transform(df.dropna(subset=list(cols)))
 
 
 def kmeans_best(df: DataFrame, cols, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300):
@@ -153,7 +155,7 @@ def silhouette(labelled: DataFrame, cluster: str = "cluster") -> float:
     return float(ev.evaluate(labelled))
 
 
-def k_sweep(df: DataFrame, cols, ks, n_init: int = 3, seed: int = 42) -> DataFrame:
+def k_sweep(df: DataFrame, cols, ks, n_init: int = 10, seed: int = 42) -> DataFrame:
     """C-04: inertia and silhouette for each k."""
     rows = []
     for k in ks:

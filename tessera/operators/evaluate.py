@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.ranks import ordered_cumsum, value_ranks
+from tessera.functions.ranks import ordered_cumsum
 
 
 def _by(by):
@@ -117,12 +117,12 @@ def roc_auc_ovr(df: DataFrame, truth: str, scores: dict, by=()) -> DataFrame:
 
     ``scores`` maps a class value to its score column."""
     by = _by(by)
-    ovr = _one_vs_rest(df, truth, scores, by)
-    ranks = value_ranks(ovr, "score", by + ["cls"])
-    joined = ovr.join(ranks.select(*by, "cls", "score", "avg_rank"), on=by + ["cls", "score"])
-    per = joined.groupBy(*by, "cls").agg(
-        F.sum(F.when(F.col("pos") == 1, F.col("avg_rank"))).alias("rank_sum"),
-        F.sum("pos").alias("n_pos"), F.count(F.lit(1)).alias("n"))
+    cells = _one_vs_rest(df, truth, scores, by).filter("score IS NOT NULL").groupBy(*by, "cls", "score") \
+        .agg(F.sum("pos").alias("tp_at"), F.count(F.lit(1)).alias("n_at"))
+    rank = F.col("n_at_before") + (F.col("n_at") + 1) / 2.0
+    per = ordered_cumsum(cells, "score", ["n_at"], by + ["cls"]).groupBy(*by, "cls").agg(
+        F.sum(F.when(F.col("tp_at") > 0, F.col("tp_at") * rank)).alias("rank_sum"),
+        F.sum("tp_at").alias("n_pos"), F.sum("n_at").alias("n"))
     n_neg = F.col("n") - F.col("n_pos")
     return per.withColumn("auc", (F.col("rank_sum") - F.col("n_pos") * (F.col("n_pos") + 1) / 2)
                           / (F.col("n_pos") * n_neg)).select(*by, "cls", "n_pos", "auc")

@@ -250,7 +250,8 @@ def direct_ml_forecast(df: DataFrame, feature_cols, n_test: int = 40, horizons=(
     n = feat.groupBy(series).agg(F.count(F.lit(1)).alias("__n"))
     feat = feat.join(n, on=series)
     first_origin = F.col("__n") - n_test - 1
-    asm = VectorAssembler(inputCols=list(feature_cols), outputCol="features", handleInvalid="skip")
+    feat = feat.dropna(subset=list(feature_cols))        # the first rows of a series have no full window yet
+    asm = VectorAssembler(inputCols=list(feature_cols), outputCol="features")
     out = None
     for h in horizons:
         tgt = f"target_h{h}"

@@ -15,7 +15,7 @@ import random
 import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression,
@@ -23,6 +23,7 @@ from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRe
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.columns import nan_to_null
 from tessera.operators.text import tokens
 
 
@@ -95,14 +96,18 @@ def regressors(label: str = "y", features: str = "features", seed: int = 42) ->
 
 
 def scaled_features(train: DataFrame, other: list[DataFrame], cols, out: str = "features"):
-    """C-00 fitted on train (ddof 0), applied to every frame, then assembled."""
+    """C-00 fitted on train (ddof 0), applied to every frame, then assembled.
+    No row goes: a null or NaN feature takes the training mean (scaled: 0)."""
     from tessera.operators.cluster import fit_scaler, standardise
-    params = fit_scaler(train, cols, ddof=0)
-    asm = VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="skip")
+    floating = {f.name for f in train.schema.fields if f.dataType.typeName() in ("float", "double")}.intersection(cols)
+    params = fit_scaler(nan_to_null(train, floating) if floating else train, cols, ddof=0)
+    asm = VectorAssembler(inputCols=list(cols), outputCol=out)
 
     def tf(df):
         keep = [c for c in df.columns if c not in cols]
-        return asm.transform(standardise(df, cols, params, keep=keep))
+        scaled = standardise(df, cols, params, keep=keep)
+        filled = {c: F.coalesce(F.nanvl(F.col(c), F.lit(None).cast("double")), F.lit(0.0)) for c in cols}
+        return asm.transform(scaled.withColumns(filled))
     return tf(train), [tf(o) for o in other], params
 
 
@@ -120,6 +125,7 @@ def fit_many(train: DataFrame, test: DataFrame, cols, y: str = "y", id_col: str
     for name, est in models.items():
         m = est.fit(tr)
         preds.append(m.transform(te).select(F.lit(name).alias("model"), id_col, F.col(y).alias("y_true"), "y_pred"))
+    tr.unpersist()
     out = preds[0]
     for p in preds[1:]:
         out = out.unionByName(p)
@@ -142,7 +148,56 @@ def cross_validate(df: DataFrame, cols, make_estimators, y: str = "y", id_col: s
             p = est.fit(tr).transform(te).select(F.lit(name).alias("model"), F.lit(f).alias("fold"),
                                                  F.col(y).alias("y_true"), "y_pred")
             rows = p if rows is None else rows.unionByName(p)
-    return regression_metrics(rows, by=["model", "fold"], mape_percent=False)
+    per = regression_metrics(rows, by=["model", "fold"], mape_percent=False)
+    table = df.sparkSession.createDataFrame(per.collect(), per.schema)    # models x folds rows
+    folded.unpersist()
+    return table
+
+
+def ridge_cv(df: DataFrame, cols, alphas, y: str = "y", id_col: str = "id", k: int = 5, seed: int = 42) -> list[tuple]:
+    """V-05 for any number of ridge penalties in two passes over the rows.
+
+    Each fold's count, sums and products of (features, target), centred on the
+    column means, are one row of an aggregate. The sums of the other folds give
+    a fold's training scaler and normal equations, its own sums the squared
+    error: the same folds, scaling and objective as :func:`cross_validate`.
+    Null and NaN features take the column's training mean there; here rows with
+    one are not accepted, so fill them first. Returns (alpha, mean and population
+    std of RMSE, mean R²)."""
+    from tessera.operators.splits import kfold
+    names = [*cols, y]
+    shift = df.agg(*[F.avg(c) for c in names]).first()
+    z = [F.col(c).cast("double") - F.lit(float(m)) for c, m in zip(names, shift)]
+    d = len(names)
+    parts = [F.count(F.lit(1)), *[F.sum(x) for x in z], *[F.sum(z[i] * z[j]) for i in range(d) for j in range(i, d)]]
+    folds = kfold(df, id_col, k, seed).groupBy("fold").agg(*[p.alias(f"s{i}") for i, p in enumerate(parts)]).collect()
+
+    def moments(v):
+        full = np.zeros((d, d))
+        full[np.triu_indices(d)] = v[1 + d:]
+        return v[0], v[1:1 + d], full + np.triu(full, 1).T
+
+    sums = {r["fold"]: np.array(list(r)[1:], float) for r in folds}
+    total = sum(sums.values())
+    out = []
+    for alpha in alphas:
+        rmse, r2 = [], []
+        for v in sums.values():
+            n, s, g = moments(total - v)
+            mean = s / n
+            cov = g / n - np.outer(mean, mean)
+            std = np.sqrt(np.diag(cov)[:-1])
+            std[std == 0] = 1.0
+            w = np.linalg.solve(n * cov[:-1, :-1] / np.outer(std, std) + alpha * np.eye(d - 1),
+                                n * cov[:-1, -1] / std) / std
+            m, s, g = moments(v)
+            c = np.append(-w, 1.0)                  # residual = c . (z - mean)
+            centred = g - np.outer(s, mean) - np.outer(mean, s) + m * np.outer(mean, mean)
+            sse = float(c @ centred @ c)
+            rmse.append(math.sqrt(max(sse, 0.0) / m))
+            r2.append(1 - sse / float(g[-1, -1] - s[-1] ** 2 / m))
+        out.append((float(alpha), float(np.mean(rmse)), float(np.std(rmse)), float(np.mean(r2))))
+    return out
 
 
 def cv_summary(per_fold: DataFrame) -> DataFrame:
@@ -151,25 +206,22 @@ def cv_summary(per_fold: DataFrame) -> DataFrame:
                                          F.avg("mae").alias("mae_mean"), F.avg("r2").alias("r2_mean"))
 
 
-def random_search(df: DataFrame, cols, y: str, id_col: str, n_trials: int = 8, k: int = 3,
-                  seed: int = 42) -> DataFrame:
-    """V-07: seeded log-uniform draws of the ridge α and GBT step size,
-    each scored by k-fold CV RMSE; (family, params, cv_rmse) rows."""
+def random_search(df: DataFrame, cols, y: str, id_col: str, n_trials: int = 30, k: int = 5,
+                  seed: int = 42, gbt_trials: int | None = None, gbt_rounds: int = 100) -> DataFrame:
+    """V-07: seeded log-uniform draws of the ridge α and GBT step size, all
+    scored on one fold assignment; (model, rmse_mean, rmse_std, r2_mean, family)
+    rows. All ridge trials share two passes (:func:`ridge_cv`); a GBT trial is
+    ``k`` fits, so ``gbt_trials`` (default ``n_trials``) can be set apart."""
     rng = random.Random(seed)
-    trials = []
-    for t in range(n_trials):
-        alpha = 10 ** rng.uniform(-3, 3)
-        step = 10 ** rng.uniform(-2, -0.3)
-
-        def make(n, ystd, alpha=alpha, step=step):
-            return {f"ridge|alpha={alpha:.6g}": ridge("features", y, alpha, n, ystd),
-                    f"gbt|step={step:.4g}": GBTRegressor(featuresCol="features", labelCol=y,
-                                                         predictionCol="y_pred", maxIter=20,
-                                                         stepSize=step, seed=seed)}
-        trials.append(cv_summary(cross_validate(df, cols, make, y, id_col, k, seed + t)))
-    out = trials[0]
-    for t in trials[1:]:
-        out = out.unionByName(t)
+    alphas = [10 ** rng.uniform(-3, 3) for _ in range(n_trials)]
+    steps = [10 ** rng.uniform(-2, -0.3) for _ in range(n_trials if gbt_trials is None else gbt_trials)]
+    scored = [(f"ridge|alpha={a:.6g}", *rest) for a, *rest in ridge_cv(df, cols, alphas, y, id_col, k, seed)]
+    out = df.sparkSession.createDataFrame(scored, "model string, rmse_mean double, rmse_std double, r2_mean double")
+    if steps:
+        gbt = lambda n, ystd: {f"gbt|step={s:.4g}": GBTRegressor(
+            featuresCol="features", labelCol=y, predictionCol="y_pred", maxIter=gbt_rounds, maxDepth=3,
+            stepSize=s, seed=seed) for s in steps}
+        out = out.unionByName(cv_summary(cross_validate(df, cols, gbt, y, id_col, k, seed)).select(*out.columns))
     return out.withColumn("family", F.split("model", r"\|")[0])
 
 
@@ -186,37 +238,44 @@ def coefficient_table(model, cols) -> list[tuple[str, float]]:
     return list(zip(cols, [float(v) for v in vals]))
 
 
-def permutation_importance(model, test: DataFrame, cols, y: str, id_col: str, repeats: int = 5,
+def _shuffles(n: int, repeats: int, seed: int) -> list[tuple[int, int]]:
+    """(a, b) of maps i -> (a i + b) mod n that permute 0 … n − 1 and leave at
+    most one place in a hundred (at least two) where it is."""
+    rng = random.Random(seed)
+    out = []
+    while len(out) < repeats:
+        a = rng.randrange(1, max(2, min(n, 2 ** 62 // max(n, 1))))
+        if n < 3 or (math.gcd(a, n) == 1 and math.gcd(a - 1, n) <= max(2, n // 100)):
+            out.append((a, rng.randrange(max(n, 1))))
+    return out
+
+
+def permutation_importance(model, test: DataFrame, cols, y: str, id_col: str, repeats: int = 30,
                            seed: int = 42) -> DataFrame:
-    """E-17: RMSE rise when one feature is shuffled, per (feature, repeat).
+    """E-17: RMSE rise when one feature is shuffled, mean and std over repeats.
 
-    A shuffle is a join of the rows on two seeded hash orders: row i takes
-    the feature value of the row at the same rank in another order. Ranks come
-    from the bucketed running count, so no single task sorts all rows."""
+    Rows are numbered once by a seeded hash order (a bucketed running count, so
+    no task sorts all rows). A repeat is an affine permutation of the numbers:
+    row i takes the feature's value of row (a i + b) mod n. One join on the
+    number serves every feature and repeat, one pass predicts them all."""
     from tessera.functions.hashing import row_hash
     from tessera.functions.ranks import ordered_cumsum
     from tessera.operators.evaluate import regression_metrics
-    base = regression_metrics(model.transform(test).select(F.col(y).alias("y_true"), "y_pred")).first()["rmse"]
-
-    def ranked(df, s):
-        h = df.select("*", row_hash(id_col, s).alias("__h"), F.lit(1).alias("__one"))
-        return ordered_cumsum(h, "__h", ["__one"], tie=id_col).withColumnRenamed("__one_before", "__r") \
-            .drop("__h", "__one")
-
-    parts = []
-    for c in cols:
-        for r in range(repeats):
-            a = ranked(test, seed + 1000 * r + 1)
-            b = ranked(test.select(id_col, F.col(c).alias("__v")), seed + 1000 * r + 2).select("__r", "__v")
-            shuffled = a.join(b, on="__r").withColumn(c, F.col("__v")).drop("__v", "__r", "features")
-            asm = VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip")
-            p = model.transform(asm.transform(shuffled)).select(
-                F.lit(c).alias("feature"), F.lit(r).alias("repeat"), F.col(y).alias("y_true"), "y_pred")
-            parts.append(p)
-    allp = parts[0]
-    for p in parts[1:]:
-        allp = allp.unionByName(p)
-    per = regression_metrics(allp, by=["feature", "repeat"]).withColumn("rise", F.col("rmse") - F.lit(base))
+    cols = list(cols)
+    whole = regression_metrics(model.transform(test).select(F.col(y).alias("y_true"), "y_pred")).first()
+    base, n = whole["rmse"], whole["n_obs"]
+    hashed = test.select(id_col, F.col(y).alias("y_true"), *cols, row_hash(id_col, seed).alias("__h"), F.lit(1).alias("__one"))
+    rows = ordered_cumsum(hashed, "__h", ["__one"], tie=id_col).withColumnRenamed("__one_before", "__r")
+    maps = F.array(*[F.struct(F.lit(r).alias("repeat"), F.lit(a).cast("long").alias("a"), F.lit(b).cast("long").alias("b"))
+                     for r, (a, b) in enumerate(_shuffles(n, repeats, seed))])
+    takers = rows.select("y_true", *cols, "__r", F.explode(maps).alias("m")) \
+        .withColumn("__from", F.pmod(F.col("m.a") * F.col("__r") + F.col("m.b"), F.lit(n).cast("long")))
+    givers = rows.select(F.col("__r").alias("__from"), *[F.col(c).alias(f"__v_{c}") for c in cols])
+    each = takers.join(givers, "__from").withColumn("feature", F.explode(F.array(*[F.lit(c) for c in cols])))
+    swapped = each.select("feature", F.col("m.repeat").alias("repeat"), "y_true", *[
+        F.when(F.col("feature") == c, F.col(f"__v_{c}")).otherwise(F.col(c)).alias(c) for c in cols])
+    p = model.transform(VectorAssembler(inputCols=cols, outputCol="features").transform(swapped))
+    per = regression_metrics(p, by=["feature", "repeat"]).withColumn("rise", F.col("rmse") - F.lit(base))
     return per.groupBy("feature").agg(F.avg("rise").alias("importance_mean"),
                                       F.stddev_pop("rise").alias("importance_std"))
 
@@ -256,13 +315,9 @@ def fit_text_classifier(train: DataFrame, text: str, label_idx: str, vocab_size:
     document frequencies, then the weighted multinomial logistic regression."""
     tok = train.withColumn("__tok", tokens(text))
     cv = CountVectorizer(inputCol="__tok", outputCol="tf", vocabSize=vocab_size, minDF=1.0).fit(tok)
-    n = tok.count()
-    binar = cv.transform(tok).select(vector_to_array("tf").alias("__a"))
-    dfs = binar.select(F.posexplode("__a").alias("i", "v")).filter("v > 0").groupBy("i").count().collect()
-    dfv = np.zeros(len(cv.vocabulary))
-    for r in dfs:
-        dfv[r["i"]] = r["count"]
-    idf = [float(math.log((1 + n) / (1 + d)) + 1) for d in dfv]
+    counted = IDF(inputCol="tf", outputCol="__idf").fit(cv.transform(tok))
+    n = int(counted.numDocs)
+    idf = [math.log((1 + n) / (1 + int(d))) + 1 for d in counted.docFreq]
     data = cv.transform(tok)
     if balanced:
         counts = {r[label_idx]: r["count"] for r in train.groupBy(label_idx).count().collect()}

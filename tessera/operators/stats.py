@@ -83,10 +83,22 @@ def with_t_pvalue(stats: DataFrame) -> DataFrame:
 
 
 def spearman(df: DataFrame, x: str, y: str, id_col: str) -> DataFrame:
-    """P-05: Spearman rho = Pearson r of average ranks (ties averaged)."""
-    pair = df.select(id_col, x, y).filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = with_avg_rank(with_avg_rank(pair, x, out="__rx"), y, out="__ry")
-    return pearson(ranked, "__rx", "__ry")
+    """P-05: Spearman rho = Pearson r of average ranks (ties averaged).
+
+    Rows collapse to distinct (x, y) first; average ranks have mean (n + 1) / 2,
+    so one aggregate of centred products is left."""
+    from tessera.functions.ranks import value_ranks
+    cells = df.select(F.col(x).alias("__x"), F.col(y).alias("__y")) \
+        .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull()) \
+        .groupBy("__x", "__y").agg(F.count(F.lit(1)).alias("__n"))
+    n = cells.agg(F.sum("__n")).first()[0] or 0
+    for v in ("__x", "__y"):
+        ranks = value_ranks(cells, v, count="__n").select(v, F.col("avg_rank").alias(f"__r{v}"))
+        cells = cells.join(ranks, on=v)
+    a, b = (F.col(f"__r{v}") - F.lit((n + 1) / 2.0) for v in ("__x", "__y"))
+    s = lambda c: F.sum(F.col("__n") * c)
+    return cells.agg((s(a * b) / F.sqrt(s(a * a) * s(b * b))).alias("r"), F.coalesce(F.sum("__n"), F.lit(0)).alias("n")) \
+        .withColumn("t", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r"))))
 
 
 # ---------------------------------------------------------------------- P-06
@@ -120,17 +132,18 @@ def with_f_pvalue(stats: DataFrame) -> DataFrame:
 def kruskal_wallis(df: DataFrame, group: str, cols) -> DataFrame:
     """P-07: Kruskal–Wallis H with tie correction, many metrics at once.
 
-    Average ranks per metric via :func:`value_ranks` (distinct values, range
-    buckets, running sums), then group rank sums and tie sizes.
+    Rows collapse to (metric, group, value, count); average ranks per metric come
+    from :func:`value_ranks`, then group rank sums and tie sizes.
     """
     from tessera.functions.ranks import value_ranks
     long = _melt(df, cols, [group]).filter(F.col("x").isNotNull() & F.col(group).isNotNull())
-    ranks = value_ranks(long, "x", by=["metric"])
+    cells = long.groupBy("metric", group, "x").agg(F.count(F.lit(1)).alias("__n"))
+    ranks = value_ranks(cells, "x", by=["metric"], count="__n")
     ties = ranks.groupBy("metric").agg(
         F.sum(F.col("n_ties") ** 3 - F.col("n_ties")).alias("tie_sum"),
         F.sum("n_ties").alias("N"))
-    ranked = long.join(ranks.select("metric", "x", "avg_rank"), on=["metric", "x"], how="inner")
-    g = ranked.groupBy("metric", group).agg(F.sum("avg_rank").alias("R"), F.count(F.lit(1)).alias("n"))
+    ranked = cells.join(ranks.select("metric", "x", "avg_rank"), on=["metric", "x"], how="inner")
+    g = ranked.groupBy("metric", group).agg(F.sum(F.col("avg_rank") * F.col("__n")).alias("R"), F.sum("__n").alias("n"))
     per = g.groupBy("metric").agg(F.sum(F.col("R") ** 2 / F.col("n")).alias("s"),
                                   F.count(F.lit(1)).alias("k"))
     N = F.col("N").cast("double")

@@ -67,7 +67,7 @@ def c03_kmeans_profile(spark, d):
 @query("c04_k_sweep")
 def c04_k_sweep(spark, d):
     scaled, _ = _scaled(spark, d)
-    return C.k_sweep(scaled, NUM, range(2, 7), n_init=3)
+    return C.k_sweep(scaled, NUM, range(2, 9))
 
 
 # C-05 -----------------------------------------------------------------------
@@ -88,7 +88,7 @@ def c05_ari_plan_vs_region(spark, d):
 @query("c05_ari_kmeans_vs_plan")
 def c05_ari_kmeans_vs_plan(spark, d):
     scaled, _ = _scaled(spark, d)
-    lab, _, _ = C.kmeans_best(scaled, NUM, k=5, n_init=5, seed=42)
+    lab, _, _ = C.kmeans_best(scaled, NUM, k=5, n_init=10, seed=42)
     return C.adjusted_rand_index(lab, "cluster", "plan")
 
 
@@ -97,7 +97,7 @@ def c05_ari_kmeans_vs_plan(spark, d):
 def c06_ward_vs_kmeans(spark, d):
     """Ward (micro-cluster re-aim) against KMeans, both k = 3: crosstab cells and ARI."""
     scaled, _ = _scaled(spark, d)
-    km, _, _ = C.kmeans_best(scaled, NUM, k=3, n_init=5, seed=42)
+    km, _, _ = C.kmeans_best(scaled, NUM, k=3, n_init=10, seed=42)
     hc = C.ward_clusters(scaled, NUM, k=3, micro=50, seed=7)
     both = km.select("customer_id", "cluster").join(hc.select("customer_id", "cluster_hc"), on="customer_id")
     ari = C.adjusted_rand_index(both, "cluster", "cluster_hc").first()["ari"]
