@@ -122,9 +122,11 @@ def imbalance_ratio(df: DataFrame, col: str) -> DataFrame:
 
 # ---------------------------------------------------------------- A-06 / A-07
 def crosstab(df: DataFrame, row: str, col: str, values) -> DataFrame:
-    """A-06: counts of ``row`` × ``col`` with explicit pivot values (no extra job)."""
-    return (df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1)))
-            .fillna(0, subset=[str(v) for v in values]))
+    """A-06: counts of ``row`` × ``col``, one column per listed value (no extra
+    job) and ``other`` for null and every value not listed."""
+    listed = F.coalesce(F.col(col).isin(*values), F.lit(False))
+    return df.groupBy(row).agg(*[F.count_if(F.col(col) == v).alias(str(v)) for v in values],
+                               F.count_if(~listed).alias("other"))
 
 
 def pivot_wide(df: DataFrame, index, column: str, value: str, values, add_mean: bool = True) -> DataFrame:

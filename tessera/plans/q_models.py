@@ -182,11 +182,14 @@ def q12_rule_sensitivity(spark, d):
 
 
 # M-01 / E-13 / E-15 ---------------------------------------------------------
-def _text_model(spark, d):
+def _text_model(spark, d, label="lang"):
     docs = table(spark, d, "documents")
-    mapping = X.label_encoder(docs, "lang")
-    enc = X.encode(docs, "lang", mapping)
-    sp = stratified_split(enc, "doc_id", "lang", 0.2, 42)
+    if label not in docs.columns:
+        marks = table(spark, d, "labels").select("doc_id", F.col(label).cast("string").alias(label))
+        docs = docs.join(marks, "doc_id")
+    mapping = X.label_encoder(docs, label)
+    enc = X.encode(docs, label, mapping)
+    sp = stratified_split(enc, "doc_id", label, 0.2, 42)
     data = enc.join(sp.select("doc_id", "split"), on="doc_id")
     cv, model = M.fit_text_classifier(data.filter("split = 'train'"), "text", "label_idx", 5000, C=5.0)
     pred = M.predict_text(cv, model, data.filter("split = 'test'"), "text")
@@ -203,10 +206,13 @@ def m01_text_classifier_metrics(spark, d):
 
 @query("e13_error_listing")
 def e13_error_listing(spark, d):
-    pred, _, _, mapping = _text_model(spark, d)
+    """Test documents whose toxicity mark the text model gets wrong, and their share."""
+    pred, _, _, mapping = _text_model(spark, d, "toxic")
     p = X.decode(X.decode(pred.withColumn("pred_idx", F.col("prediction").cast("int")), "pred_idx", mapping, "pred"),
                  "label_idx", mapping, "truth")
-    return E.error_listing(p.select("doc_id", "truth", "pred", "text"), "truth", "pred", "text", 120)
+    rate = p.agg(F.avg((F.col("truth") != F.col("pred")).cast("double"))).first()[0]
+    return E.error_listing(p.select("doc_id", "truth", "pred", "text"), "truth", "pred", "text", 120) \
+        .withColumn("error_rate", F.lit(rate))
 
 
 @query("e15_top_words")

@@ -183,7 +183,8 @@ def a05_imbalance_ratio(spark, d):
 
 # A-06 -----------------------------------------------------------------------
 @query("a06_crosstab_plan_region", CP + "\nSELECT plan, " + ", ".join(
-    f"count(*) FILTER (WHERE region = '{r}') AS \"{r}\"" for r in REGIONS) + " FROM customer_profile GROUP BY plan")
+    f"count(*) FILTER (WHERE region = '{r}') AS \"{r}\"" for r in REGIONS) +
+    f", count(*) FILTER (WHERE region IS NULL OR region NOT IN {REGIONS}) AS other FROM customer_profile GROUP BY plan")
 def a06_crosstab_plan_region(spark, d):
     return D.crosstab(customer_profile(spark, d), "plan", "region", REGIONS)
 

@@ -10,17 +10,19 @@ _C = O.CLASSES
 
 _MONITOR_SQL = """
 WITH b AS (SELECT count(*) AS n, max(value) AS vmax, """ + ", ".join(
-    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS b_{c}" for c in _C) + """ FROM events),
+    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS b_{c}" for c in _C) + """,
+    count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN """ + str(_C) + """) / count(*) AS b_other FROM events),
 w AS (SELECT time_bucket(INTERVAL '7 days', ts, TIMESTAMP '1970-01-01') AS window_start, ts, event_type, value FROM events),
 a AS (SELECT window_start, window_start + INTERVAL '7 days' AS window_end, count(*) AS n,
              count(*) FILTER (WHERE value / (SELECT vmax FROM b) >= 0.5) / count(*) AS coverage,
              count(*) FILTER (WHERE event_type = 'error') / count(*) AS correction_rate, """ + ", ".join(
-    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS share_{c}" for c in _C) + """
+    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS share_{c}" for c in _C) + """,
+             count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN """ + str(_C) + """) / count(*) AS share_other
       FROM w GROUP BY window_start)
-SELECT a.*, (""" + " + ".join(f"abs(share_{c} - b_{c})" for c in _C) + """) / 2.0 AS mix_drift
+SELECT a.*, (""" + " + ".join(f"abs(share_{c} - b_{c})" for c in (*_C, "other")) + """) / 2.0 AS mix_drift
 FROM a, b"""
 
-_DOUBLES = ["coverage", "correction_rate", "mix_drift"] + [f"share_{c}" for c in _C]
+_DOUBLES = ["coverage", "correction_rate", "mix_drift"] + [f"share_{c}" for c in (*_C, "other")]
 
 
 @query("o01_monitor_weekly", _MONITOR_SQL, doubles=_DOUBLES)
@@ -30,10 +32,11 @@ def o01_monitor_weekly(spark, d):
     return O.window_metrics(ev, O.fit_baseline(ev), watermark=None)
 
 
-@query("o01_monitor_stream", _MONITOR_SQL.replace("FROM a, b", "FROM a, b WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1 day'"),
-       doubles=_DOUBLES)
+@query("o01_monitor_stream", _MONITOR_SQL, doubles=_DOUBLES)
 def o01_monitor_stream(spark, d):
     """Structured Streaming run (watermark 1 day, append mode, available-now
-    trigger) over the events files; emits the windows the watermark closed."""
+    trigger) over the events files, and the windows it has not closed yet."""
     ev = table(spark, d, "events")
-    return O.run_stream(spark, d, O.fit_baseline(ev), file_glob="events.parquet")
+    base = O.fit_baseline(ev)
+    closed = O.run_stream(spark, d, base, file_glob="events.parquet")
+    return closed.unionByName(O.open_windows(ev, closed, base))

@@ -41,7 +41,8 @@ def fit_baseline(reference: DataFrame, classes=CLASSES) -> dict:
     """Class shares and the confidence scale (max value) of the reference."""
     row = reference.agg(F.count(F.lit(1)).alias("n"), F.max("value").alias("vmax"),
                         *[F.count_if(F.col("event_type") == c).alias(f"n_{c}") for c in classes]).first()
-    return {"scale": float(row["vmax"]), **{c: row[f"n_{c}"] / row["n"] for c in classes}}
+    shares = {c: row[f"n_{c}"] / row["n"] for c in classes}
+    return {"scale": float(row["vmax"]), **shares, "other": max(0.0, 1.0 - sum(shares.values()))}
 
 
 def window_metrics(events: DataFrame, baseline: dict, window: str = "7 days", threshold: float = 0.5,
@@ -60,7 +61,8 @@ def window_metrics(events: DataFrame, baseline: dict, window: str = "7 days", th
                      (F.col("n_confident") / F.col("n")).alias("coverage"),
                      (F.col(f"n_{CORRECTION_CLASS}") / F.col("n")).alias("correction_rate"),
                      *[(F.col(f"n_{c}") / F.col("n")).alias(f"share_{c}") for c in classes])
-    drift = sum(F.abs(F.col(f"share_{c}") - F.lit(baseline[c])) for c in classes) / 2.0
+    out = out.withColumn("share_other", F.greatest(F.lit(1.0) - sum(F.col(f"share_{c}") for c in classes), F.lit(0.0)))
+    drift = sum(F.abs(F.col(f"share_{c}") - F.lit(baseline[c])) for c in (*classes, "other")) / 2.0
     return out.withColumn("mix_drift", drift)
 
 
@@ -71,8 +73,11 @@ def run_stream(spark: SparkSession, source_dir: str, baseline: dict, file_glob:
     ``source_dir`` matching ``file_glob`` (available-now trigger), appending closed windows to a
     Parquet table in the shared checkpoint folder, and return that table.
 
-    Checkpoint and output live under ``spark.checkpoint.dir`` so a restarted
-    driver resumes exactly once from the last committed batch."""
+    Checkpoint and output live under ``out_dir``: a monitor that must resume
+    after a restart passes the same folder again and goes on from the last
+    committed batch. Without it every call is a run of its own in a fresh folder
+    under ``spark.checkpoint.dir``. The last windows stay open until later events
+    pass the watermark; :func:`open_windows` reports them."""
     base = out_dir or os.path.join(checkpoint_dir(spark), f"monitor-{uuid.uuid4().hex}")
     stream = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob).parquet(source_dir)
     metrics = window_metrics(stream, baseline, window, threshold, watermark)
@@ -84,6 +89,15 @@ def run_stream(spark: SparkSession, source_dir: str, baseline: dict, file_glob:
     return spark.read.schema(metrics.schema).parquet(os.path.join(base, "out"))
 
 
+def open_windows(events: DataFrame, closed: DataFrame, baseline: dict, window: str = "7 days",
+                 threshold: float = 0.5) -> DataFrame:
+    """Metrics so far of the windows that the stream has not closed: a batch over
+    the events from the last closed window's end on (the filter reaches the scan)."""
+    last = closed.agg(F.max("window_end")).first()[0]
+    rest = events if last is None else events.filter(F.col("ts") >= F.lit(last))
+    return window_metrics(rest, baseline, window, threshold, watermark=None)
+
+
 def closed_windows(batch_metrics: DataFrame, events: DataFrame, watermark_days: int = 1) -> DataFrame:
     """Batch twin restricted to the windows a watermarked stream has emitted
     (window end ≤ max event time − watermark)."""
