@@ -22,6 +22,7 @@ HEADLINE = [
     "q03_duplicates_documents",
     "x04_tfidf_norms",
     "x06_near_duplicates",
+    "x07_remove_near_duplicates",
     "c05_ari_plan_vs_region",
     "e02_metrics_by_model_horizon",
     "w02_rolling_features",

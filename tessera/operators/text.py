@@ -4,16 +4,16 @@ Documents become a long postings table (doc, term, tf) — the sparse matrix
 in relational form — so vocabulary statistics are group-bys, IDF is a join on
 the term, and similarity search is a join on the term restricted to each
 document's prefix terms (exact for a cosine threshold, see
-:func:`near_duplicates`).
+:func:`cosine_pairs`).
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.quality import drop_missing, normalise_category
+from tessera.session import reliable_checkpoint, written
 
 # A token is a run of two or more letters, digits or underscores
 # after lower-casing (the default token rule of the study's vectoriser).
@@ -111,15 +111,36 @@ def matrix_stats(weights: DataFrame, n_docs: int, vocab: DataFrame) -> DataFrame
 
 
 # ---------------------------------------------------------------------- X-06
-def _rest_norms(weights: DataFrame, vocab: DataFrame) -> DataFrame:
-    """(doc, term, w, df, rest): ``rest`` is the norm of this term and all
-    later terms of the document in one global order — document frequency
-    ascending, then term. The order is a composite key, so no global ranking
-    of the vocabulary is needed; the window runs inside each document."""
-    w = weights.join(vocab.select("term", "df"), on="term", how="inner")
-    win = Window.partitionBy("doc").orderBy(F.col("df").desc(), F.col("term").desc()) \
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return w.withColumn("rest", F.sqrt(F.sum(F.col("w") ** 2).over(win)))
+EPS = 1e-12
+
+
+def numbered(vocab: DataFrame, name: str) -> DataFrame:
+    """``vocab`` written once, every term with a number of its own: postings
+    then travel, sort and join on longs instead of strings."""
+    return written(vocab.withColumn("term_id", F.monotonically_increasing_id()), name)
+
+
+def ranked_weights(post: DataFrame, vocab: DataFrame) -> DataFrame:
+    """(doc, term, w, df, rest) for a :func:`numbered` vocabulary: term number,
+    TF-IDF weight (unit norm per document), document frequency, and the norm of
+    this term and all later terms of the document in one global order —
+    document frequency ascending, then term. The order is a composite key, so
+    no global ranking of the vocabulary is needed; norm and running norm are
+    one window over the terms of each document, with one sort."""
+    w = post.join(vocab.select("term", "term_id", "df", "idf"), on="term") \
+        .select("doc", F.col("term_id").alias("term"), (F.col("tf") * F.col("idf")).alias("w"), "df")
+    win = Window.partitionBy("doc").orderBy(F.col("df").desc(), F.col("term").desc())
+    square = F.col("w") ** 2
+    norm = F.sqrt(F.sum(square).over(win.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    rest = F.sqrt(F.sum(square).over(win.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    return w.select("doc", "term", "w", "df", norm.alias("__norm"), rest.alias("__rest")) \
+        .select("doc", "term", (F.col("w") / F.col("__norm")).alias("w"), "df",
+                (F.col("__rest") / F.col("__norm")).alias("rest"))
+
+
+def _prefix(ranked: DataFrame, threshold: float) -> DataFrame:
+    """The leading run of every document's terms whose ``rest`` reaches the threshold."""
+    return ranked.filter(F.col("rest") >= threshold - EPS)
 
 
 def _tail(rest: Column, w: Column) -> Column:
@@ -127,11 +148,40 @@ def _tail(rest: Column, w: Column) -> Column:
     return F.sqrt(F.greatest(rest * rest - w * w, F.lit(0.0)))
 
 
-def cosine_pairs(test_w: DataFrame, train_w: DataFrame, vocab: DataFrame, threshold: float) -> DataFrame:
-    """All (test doc, train doc) pairs with cosine ≥ threshold, exactly.
+def _bounded(shared: DataFrame, threshold: float) -> DataFrame:
+    """Candidates (test_doc, train_doc, acc, m_df, m_term) from their shared
+    prefix terms (…, term, df, wt, rt, wr, rr) that pass the bound."""
+    return (shared.groupBy("test_doc", "train_doc")
+            .agg(F.sum(F.col("wt") * F.col("wr")).alias("acc"),
+                 F.max(F.struct("df", "term", _tail(F.col("rt"), F.col("wt")).alias("tx"),
+                                _tail(F.col("rr"), F.col("wr")).alias("ty"))).alias("m"))
+            .filter(F.col("acc") + F.col("m.tx") * F.col("m.ty") >= threshold - EPS)
+            .select("test_doc", "train_doc", "acc", F.col("m.df").alias("m_df"), F.col("m.term").alias("m_term")))
+
+
+def _finished(cand: DataFrame, test_r: DataFrame, train_r: DataFrame, threshold: float) -> DataFrame:
+    """(test_doc, train_doc, cosine) of the candidates that reach the threshold:
+    ``acc`` plus the products of the shared terms after (m_df, m_term)."""
+    tw = test_r.select(F.col("doc").alias("test_doc"), "term", "df", F.col("w").alias("wt"))
+    # The expanded side (candidates × test tail terms) is by far the larger;
+    # the train postings are unique on (train doc, term), so each task builds
+    # a hash table of its slice of them instead of sorting the expansion.
+    rw = train_r.select(F.col("doc").alias("train_doc"), "term", F.col("w").alias("wr")).hint("shuffle_hash")
+    after = (F.col("df") > F.col("m_df")) | ((F.col("df") == F.col("m_df")) & (F.col("term") > F.col("m_term")))
+    rest = (cand.join(tw, on="test_doc").filter(after)
+            .join(rw, on=["train_doc", "term"])
+            .groupBy("test_doc", "train_doc").agg(F.sum(F.col("wt") * F.col("wr")).alias("__rest")))
+    return (cand.join(rest, on=["test_doc", "train_doc"], how="left")
+            .select("test_doc", "train_doc", (F.col("acc") + F.coalesce("__rest", F.lit(0.0))).alias("cosine"))
+            .filter(F.col("cosine") >= threshold - EPS))
+
+
+def cosine_pairs(test_r: DataFrame, train_r: DataFrame, threshold: float) -> DataFrame:
+    """All (test doc, train doc) pairs with cosine ≥ threshold, exactly, for
+    tables of :func:`ranked_weights`.
 
     Prefix filtering: the prefix of a unit vector is the leading run of its
-    terms (rarest first) whose ``rest`` norm is ≥ threshold. If two vectors
+    terms (rarest first) whose ``rest`` norm is ≥ the threshold. If two vectors
     share no prefix term, the first shared term lies in a suffix of norm
     < threshold and Cauchy–Schwarz bounds the cosine below it; so candidates
     are an equi-join of prefix postings on the term.
@@ -146,54 +196,58 @@ def cosine_pairs(test_w: DataFrame, train_w: DataFrame, vocab: DataFrame, thresh
     are finished exactly: only the test terms after m are joined to the train
     postings on (train doc, term).
     """
-    eps = F.lit(1e-12)
-    t = F.lit(threshold)
-    te = _rest_norms(test_w, vocab).persist(StorageLevel.MEMORY_AND_DISK)  # read twice below
-    tr = _rest_norms(train_w, vocab)
-    pt = te.filter(F.col("rest") >= t - eps).select(
+    pt = _prefix(test_r, threshold).select(
         F.col("doc").alias("test_doc"), "term", "df", F.col("w").alias("wt"), F.col("rest").alias("rt"))
-    pr = tr.filter(F.col("rest") >= t - eps).select(
+    pr = _prefix(train_r, threshold).select(
         F.col("doc").alias("train_doc"), "term", F.col("w").alias("wr"), F.col("rest").alias("rr"))
-    cand = (pt.join(pr, on="term")
-            .groupBy("test_doc", "train_doc")
-            .agg(F.sum(F.col("wt") * F.col("wr")).alias("acc"),
-                 F.max(F.struct("df", "term", _tail(F.col("rt"), F.col("wt")).alias("tx"),
-                                _tail(F.col("rr"), F.col("wr")).alias("ty"))).alias("m"))
-            .filter(F.col("acc") + F.col("m.tx") * F.col("m.ty") >= t - eps)
-            .select("test_doc", "train_doc", "acc", F.col("m.df").alias("m_df"), F.col("m.term").alias("m_term")))
-    tw = te.select(F.col("doc").alias("test_doc"), "term", "df", F.col("w").alias("wt"))
-    # The expanded side (candidates × test tail terms) is by far the larger;
-    # the train postings are unique on (train doc, term), so each task builds
-    # a hash table of its slice of them instead of sorting the expansion.
-    rw = train_w.select(F.col("doc").alias("train_doc"), "term", F.col("w").alias("wr")).hint("shuffle_hash")
-    after = (F.col("df") > F.col("m_df")) | ((F.col("df") == F.col("m_df")) & (F.col("term") > F.col("m_term")))
-    rest = (cand.join(tw, on="test_doc").filter(after)
-            .join(rw, on=["train_doc", "term"])
-            .groupBy("test_doc", "train_doc").agg(F.sum(F.col("wt") * F.col("wr")).alias("__rest")))
-    return (cand.join(rest, on=["test_doc", "train_doc"], how="left")
-            .select("test_doc", "train_doc", (F.col("acc") + F.coalesce("__rest", F.lit(0.0))).alias("cosine"))
-            .filter(F.col("cosine") >= t - eps))
+    return _finished(_bounded(pt.join(pr, on="term"), threshold), test_r, train_r, threshold)
+
+
+def star_links(test_r: DataFrame, train_r: DataFrame, threshold: float, earlier: bool = False) -> DataFrame:
+    """(test_doc, train_doc, cosine): at most one verified link per test doc.
+
+    Every prefix term names one train doc, the smallest that has it; each test
+    doc is compared with the doc that most of its prefix weight names. All
+    members of a template family name the same doc, so a family of m documents
+    costs m comparisons. Not a complete search: links found here spare the
+    exact one. With ``earlier`` only smaller ids are partners."""
+    named = _prefix(train_r, threshold).groupBy("term").agg(F.min("doc").alias("train_doc"))
+    votes = _prefix(test_r, threshold).select(F.col("doc").alias("test_doc"), "term", "w").join(named, "term")
+    if earlier:
+        votes = votes.filter(F.col("train_doc") < F.col("test_doc"))
+    pick = votes.groupBy("test_doc", "train_doc").agg(F.sum(F.col("w") ** 2).alias("s")) \
+        .groupBy("test_doc").agg(F.max_by("train_doc", F.struct("s", -F.col("train_doc"))).alias("train_doc"))
+    whole = pick.select("test_doc", "train_doc", F.lit(0.0).alias("acc"), F.lit(-1).cast("long").alias("m_df"),
+                        F.lit(-1).cast("long").alias("m_term"))
+    return _finished(whole, test_r, train_r, threshold)
 
 
 def near_duplicates(train: DataFrame, test: DataFrame, id_col: str, text: str, threshold: float = 0.9,
-                    max_features: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """X-06: for each test text, the best train cosine if it reaches the
+                    max_features: int | None = None, best: bool = False) -> tuple[DataFrame, DataFrame]:
+    """X-06: for each test text, whether some train text reaches the cosine
     threshold; and the summary (n_test, n_near_duplicate, pct).
 
     The vectoriser is fitted on train only. Identical texts are collapsed
-    before the search (a group of copies becomes one vector with a count),
-    so copies never multiply the candidate pairs."""
+    before the search (a group of copies becomes one vector with a count).
+    Test texts with a verified star link are settled; only the others are
+    searched exhaustively. ``max_cosine`` is then the cosine of a text that
+    reaches the threshold; with ``best`` every test text is searched
+    exhaustively and it is the largest one (NULL below the threshold)."""
     tr_u = train.groupBy(text).agg(F.min(id_col).alias(id_col))
     te_u = test.groupBy(text).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("__copies"))
-    # Reused several times below: persisted (memory, spilling to disk) so the
-    # texts are tokenised once; lost blocks are recomputed from lineage.
-    tr_post = postings(tr_u, id_col, text).persist(StorageLevel.MEMORY_AND_DISK)
-    vocab = fit_vocabulary(tr_post, 1, max_features, n_docs=tr_u.count()).persist(StorageLevel.MEMORY_AND_DISK)
-    tr_w = tfidf(tr_post, vocab).persist(StorageLevel.MEMORY_AND_DISK)
-    te_w = tfidf(postings(te_u, id_col, text), vocab).persist(StorageLevel.MEMORY_AND_DISK)
-    pairs = cosine_pairs(te_w, tr_w, vocab, threshold)
-    best = pairs.groupBy("test_doc").agg(F.max("cosine").alias("max_cosine"))
-    per_text = te_u.join(best, te_u[id_col] == best["test_doc"], "left") \
+    # Read several times below: written once into the shared folder.
+    tr_post = written(postings(tr_u, id_col, text), "x06-train-terms")
+    vocab = numbered(fit_vocabulary(tr_post, 1, max_features, n_docs=tr_u.count()), "x06-vocabulary")
+    tr_r = written(ranked_weights(tr_post, vocab), "x06-train")
+    te_r = written(ranked_weights(postings(te_u, id_col, text), vocab), "x06-test")
+    if best:
+        pairs = cosine_pairs(te_r, tr_r, threshold)
+    else:
+        star = written(star_links(te_r, tr_r, threshold), "x06-star")
+        open_r = te_r.join(star.select(F.col("test_doc").alias("doc")), "doc", "left_anti")
+        pairs = star.unionByName(cosine_pairs(open_r, tr_r, threshold))
+    top = pairs.groupBy("test_doc").agg(F.max("cosine").alias("max_cosine"))
+    per_text = te_u.join(top, te_u[id_col] == top["test_doc"], "left") \
         .select(F.col(id_col), "__copies", "max_cosine")
     summary = per_text.agg(
         F.sum("__copies").alias("n_test"),
@@ -216,7 +270,6 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     aggregate (partial, map-side), so a hub node or a giant component is
     split by AQE's skew handling rather than sent to one task. Lineage is cut
     every few rounds with a reliable checkpoint into the shared folder."""
-    from tessera.session import reliable_checkpoint
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
     e = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     e = reliable_checkpoint(e)
@@ -237,14 +290,47 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
             labels = reliable_checkpoint(labels)
 
 
+def links_between(ranked: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
+    """(test_doc, train_doc, cosine): every link whose ends lie in different
+    components of ``comps`` (node, component; an unlisted document is its own).
+
+    In the list of a term all documents of its largest component stay apart
+    from each other: pairs are formed only between the others and the whole
+    list, so a family of m documents beside k others costs k·(m + k), not m².
+    A shared term gives one row per pair whichever end is outside, hence the
+    partial products are complete."""
+    p = _prefix(ranked, threshold).join(comps.withColumnRenamed("node", "doc"), "doc", "left") \
+        .withColumn("comp", F.coalesce("comp", "doc"))
+    p = written(p, "x07-prefix")
+    sizes = p.groupBy("term", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("term").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"),
+                                     F.count(F.lit(1)).alias("k")).filter("k > 1").select("term", "main")
+    p = p.join(main, "term").withColumn("is_main", F.col("comp") == F.col("main"))
+    cols = ("doc", "comp", "w", "rest", "is_main")
+    x = p.filter(~F.col("is_main")).select("term", "df", *[F.col(c).alias(f"x_{c}") for c in cols])
+    y = p.select("term", *[F.col(c).alias(f"y_{c}") for c in cols])
+    first = F.col("x_doc") < F.col("y_doc")
+    shared = x.join(y, "term").filter((F.col("x_comp") != F.col("y_comp")) & (F.col("y_is_main") | first)).select(
+        F.least("x_doc", "y_doc").alias("test_doc"), F.greatest("x_doc", "y_doc").alias("train_doc"), "term", "df",
+        *[F.when(first, F.col(f"x_{c}")).otherwise(F.col(f"y_{c}")).alias(t) for c, t in (("w", "wt"), ("rest", "rt"))],
+        *[F.when(first, F.col(f"y_{c}")).otherwise(F.col(f"x_{c}")).alias(t) for c, t in (("w", "wr"), ("rest", "rr"))])
+    return _finished(_bounded(shared, threshold), ranked, ranked, threshold)
+
+
 def remove_near_duplicates(df: DataFrame, id_col: str, text: str, threshold: float = 0.9) -> DataFrame:
     """X-07: drop texts that are near-copies (cosine ≥ threshold, transitively)
-    of a text with a smaller id; exact copies collapse first."""
+    of a text with a smaller id; exact copies collapse first.
+
+    Star links join template families first, at one comparison per document;
+    the exact search then looks only for links between different components."""
     u = df.groupBy(text).agg(F.min(id_col).alias(id_col))
-    post = postings(u, id_col, text)
-    vocab = fit_vocabulary(post, n_docs=u.count())
-    w = tfidf(post, vocab)
-    pairs = cosine_pairs(w, w, vocab, threshold).filter(F.col("test_doc") < F.col("train_doc"))
-    comps = connected_components(pairs, "test_doc", "train_doc")
+    post = written(postings(u, id_col, text), "x07-terms")
+    vocab = numbered(fit_vocabulary(post, n_docs=u.count()), "x07-vocabulary")
+    ranked = written(ranked_weights(post, vocab), "x07-weights")
+    star = connected_components(star_links(ranked, ranked, threshold, earlier=True), "test_doc", "train_doc")
+    star = written(star, "x07-star")
+    across = links_between(ranked, star, threshold).select(F.col("test_doc").alias("a"), F.col("train_doc").alias("b"))
+    inside = star.filter("node <> comp").select(F.col("node").alias("a"), F.col("comp").alias("b"))
+    comps = connected_components(across.unionByName(inside))
     dropped = comps.filter(F.col("node") != F.col("comp")).select(F.col("node").alias(id_col))
     return u.join(dropped, on=id_col, how="left_anti")

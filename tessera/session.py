@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
@@ -93,3 +94,12 @@ def reliable_checkpoint(df):
     """``DataFrame.checkpoint`` into the shared folder (never localCheckpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df, name: str):
+    """``df`` written as Parquet into the shared folder and read back: it is
+    computed once, lineage ends there, and nothing stays in executor memory."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tessera-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

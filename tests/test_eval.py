@@ -89,10 +89,11 @@ def test_prefix_filter_matches_brute_force(spark):
     docs += [d + " extra" for d in docs[:10]]
     df = spark.createDataFrame(list(enumerate(docs)), "id long, text string")
     post = X.postings(df, "id", "text")
-    vocab = X.fit_vocabulary(post, n_docs=df.count())
+    vocab = X.numbered(X.fit_vocabulary(post, n_docs=df.count()), "test-vocabulary")
     w = X.tfidf(post, vocab)
+    ranked = X.ranked_weights(post, vocab)
     for t in (0.3, 0.5, 0.8, 0.95):
-        fast = {(r.test_doc, r.train_doc): r.cosine for r in X.cosine_pairs(w, w, vocab, t).collect()}
+        fast = {(r.test_doc, r.train_doc): r.cosine for r in X.cosine_pairs(ranked, ranked, t).collect()}
         a, b = w.alias("a"), w.alias("b")
         brute = (a.join(b, "term").groupBy(F.col("a.doc").alias("x"), F.col("b.doc").alias("y"))
                  .agg(F.sum(F.col("a.w") * F.col("b.w")).alias("c")).filter(F.col("c") >= t - 1e-12))
@@ -101,6 +102,52 @@ def test_prefix_filter_matches_brute_force(spark):
         assert all(abs(fast[k] - slow[k]) < 1e-9 for k in slow)
 
 
+def test_template_family_costs_one_link_per_document(spark):
+    """2,000 copies of a template with one changed word beside unrelated texts:
+    star links join the family, the exact search forms no pair inside it."""
+    base = [f"part{i}" for i in range(60)]
+    rows = [(i, " ".join(base[:i % 60] + [f"x{i}"] + base[i % 60 + 1:])) for i in range(2000)]
+    rows += [(5000 + i, " ".join(f"o{i}n{k}" for k in range(20))) for i in range(50)]
+    rows += [(6000 + i, t + " tail") for i, t in enumerate(x for _, x in rows[2000:2025])]
+    df = spark.createDataFrame(rows, "id long, text string")
+    kept = {r["id"] for r in X.remove_near_duplicates(df, "id", "text", 0.9).collect()}
+    post = X.postings(df, "id", "text")
+    ranked = X.ranked_weights(post, X.numbered(X.fit_vocabulary(post, n_docs=df.count()), "family"))
+    star = X.star_links(ranked, ranked, 0.8, earlier=True)
+    links = star.collect()
+    assert len({r.test_doc for r in links}) == len(links) < len(rows)
+    comps = X.connected_components(star, "test_doc", "train_doc")
+    inside = X.links_between(ranked, comps, 0.8).where("test_doc < 2000 AND train_doc < 2000").count()
+    assert inside <= 2 * 2000
+    assert {5000 + i for i in range(50)} <= kept and not kept & set(range(6000, 6025))
+
+
+def test_near_duplicate_removal_equals_brute_force(spark):
+    rnd = random.Random(8)
+    words = [f"v{i}" for i in range(25)]
+    docs = [[rnd.choice(words) for _ in range(rnd.randint(4, 14))] for _ in range(50)]
+    docs += [d[:-1] + [rnd.choice(words)] for d in docs[:25]] + [d + ["more"] for d in docs[10:30]]
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "id long, text string")
+    u = df.groupBy("text").agg(F.min("id").alias("id"))
+    post = X.postings(u, "id", "text")
+    w = X.tfidf(post, X.fit_vocabulary(post, n_docs=u.count()))
+    vec = {}
+    for r in w.collect():
+        vec.setdefault(r.doc, {})[r.term] = r.w
+    for t in (0.6, 0.8):
+        comp = {i: i for i in vec}
+        changed = True
+        while changed:
+            changed = False
+            for i in vec:
+                for j in vec:
+                    if sum(x * vec[j].get(k, 0.0) for k, x in vec[i].items()) >= t - 1e-12 and comp[i] != comp[j]:
+                        comp[i] = comp[j] = min(comp[i], comp[j])
+                        changed = True
+        got = {r["id"] for r in X.remove_near_duplicates(df, "id", "text", t).collect()}
+        assert got == {i for i in vec if comp[i] == i}
+
+
 def test_ari_identical_and_hand_counts(spark):
     df = spark.createDataFrame([(i, i % 4, i % 4) for i in range(40)], "id long, a int, b int")
     assert abs(C.adjusted_rand_index(df, "a", "b").first().ari - 1.0) < 1e-12
