@@ -165,37 +165,47 @@ def acf(df: DataFrame, nlags: int = 40, series: str = "series_id", ts: str = "ds
           for k in range(1, nlags + 1)])))
 
 
-def pacf_from_acf(r):
-    """P-16: PACF by Durbin–Levinson on the (nlags + 1) autocorrelations."""
-    nl = len(r) - 1
-    phi = [[0.0] * (nl + 1) for _ in range(nl + 1)]
-    out = [1.0]
-    if nl == 0:
-        return out
-    phi[1][1] = r[1]
-    out.append(r[1])
-    for k in range(2, nl + 1):
-        num = r[k] - sum(phi[k - 1][j] * r[k - j] for j in range(1, k))
-        den = 1.0 - sum(phi[k - 1][j] * r[j] for j in range(1, k))
-        phi[k][k] = num / den
-        for j in range(1, k):
-            phi[k][j] = phi[k - 1][j] - phi[k][k] * phi[k - 1][k - j]
-        out.append(phi[k][k])
-    return out
+def pacf(acf_rows: DataFrame, series: str = "series_id") -> DataFrame:
+    """P-16: partial autocorrelations of every series from its :func:`acf` rows.
+
+    The Durbin–Levinson recursion runs as a fold over the lags of one row per
+    series (their number is the parameter of ``acf``), in JVM expressions."""
+    r = F.col("__r")
+    rows = acf_rows.groupBy(series).agg(F.transform(F.sort_array(F.collect_list(F.struct("lag", "acf"))),
+                                                    lambda x: x["acf"]).alias("__r"))
+
+    def dot(a, b):
+        return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda t, v: t + v)
+
+    def step(state, k):
+        phi, past = state["phi"], F.slice(r, F.lit(2), k - 1)
+        top = (F.get(r, k) - dot(phi, F.reverse(past))) / (F.lit(1.0) - dot(phi, past))
+        return F.struct(F.concat(F.zip_with(phi, F.reverse(phi), lambda x, y: x - top * y), F.array(top)).alias("phi"),
+                        F.concat(state["out"], F.array(top)).alias("out"))
+
+    none = F.array().cast("array<double>")
+    lags = F.when(F.size(r) > 1, F.sequence(F.lit(1), F.size(r) - 1)).otherwise(F.array().cast("array<int>"))
+    out = F.aggregate(lags, F.struct(none.alias("phi"), F.array(F.lit(1.0)).cast("array<double>").alias("out")), step,
+                      lambda state: state["out"])
+    return rows.select(series, F.posexplode(out).alias("lag", "pacf"))
 
 
 # ---------------------------------------------------------------- P-17 / P-18
 def seasonal_decompose(df: DataFrame, period: int = 5, series: str = "series_id", ts: str = "ds",
-                       value: str = "close") -> DataFrame:
+                       value: str = "close", extend: bool = False) -> DataFrame:
     """P-17: additive decomposition with an odd ``period``: centred moving
     average trend (NULL where the window is incomplete), seasonal index per
-    position mod period (centred to mean 0), residual."""
+    position mod period (centred to mean 0), residual. With ``extend`` the
+    trend goes on to both ends of the series along the least-squares line of
+    its first and last ``period`` known points, before the seasonal fit."""
     half = period // 2
     w = _w(series, ts)
     frame = w.rowsBetween(-half, half)
     d = with_position(df, series, ts)
-    d = d.withColumn("trend", F.when(F.count(value).over(frame) == period, F.avg(value).over(frame))) \
-         .withColumn("phase", F.col("pos") % period) \
+    d = d.withColumn("trend", F.when(F.count(value).over(frame) == period, F.avg(value).over(frame)))
+    if extend:
+        d = _extended(d, period, series)
+    d = d.withColumn("phase", F.col("pos") % period) \
          .withColumn("__det", F.col(value) - F.col("trend"))
     idx = d.groupBy(series, "phase").agg(F.avg("__det").alias("__s"))
     centre = idx.groupBy(series).agg(F.avg("__s").alias("__sm"))
@@ -205,6 +215,19 @@ def seasonal_decompose(df: DataFrame, period: int = 5, series: str = "series_id"
             .drop("__det"))
 
 
+def _extended(d: DataFrame, period: int, series: str) -> DataFrame:
+    """``trend`` filled at both ends of every series along its end lines."""
+    ends = d.filter("trend IS NOT NULL").groupBy(series).agg(F.min("pos").alias("__lo"), F.max("pos").alias("__hi"))
+    known = d.join(ends, series)
+    lines = known.groupBy(series, "__lo", "__hi").agg(*[
+        fit(F.when(near, F.col("trend")), F.col("pos")).alias(f"__{side}{k}")
+        for side, near in (("a", F.col("pos") < F.col("__lo") + period), ("z", F.col("pos") > F.col("__hi") - period))
+        for k, fit in enumerate((F.regr_intercept, F.regr_slope))])
+    line = lambda side: F.col(f"__{side}0") + F.col(f"__{side}1") * F.col("pos")
+    filled = F.when(F.col("pos") < F.col("__lo"), line("a")).when(F.col("pos") > F.col("__hi"), line("z")).otherwise(F.col("trend"))
+    return d.join(lines, series, "left").withColumn("trend", filled).select(*d.columns)
+
+
 def seasonality_strength(decomposed: DataFrame, series: str = "series_id") -> DataFrame:
     """P-18: amplitude (max − min) of the seasonal and trend parts and their ratio."""
     return decomposed.groupBy(series).agg(

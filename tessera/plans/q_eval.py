@@ -149,6 +149,19 @@ def e10_average_precision(spark, d):
         .withColumn("n_pos", F.col("n_pos").cast("long"))
 
 
+@query("e10_macro_average_precision", _PRED_CTE + """,
+o AS (SELECT cls, prob, CAST(truth = cls AS INTEGER) AS pos FROM probs),
+g AS (SELECT cls, prob, sum(pos) AS tp_at, count(*) AS n_at FROM o GROUP BY ALL),
+cu AS (SELECT *, sum(tp_at) OVER (PARTITION BY cls ORDER BY prob DESC) AS tp,
+              sum(n_at) OVER (PARTITION BY cls ORDER BY prob DESC) AS np FROM g),
+tot AS (SELECT cls, sum(pos) AS n_pos FROM o GROUP BY cls),
+a AS (SELECT cls, sum(tp_at / n_pos * tp / np) AS ap FROM cu JOIN tot USING (cls) GROUP BY cls, n_pos)
+SELECT count(*) AS n_classes, avg(ap) AS ap_macro, min(ap) AS ap_worst FROM a""", doubles=["ap_macro", "ap_worst"])
+def e10_macro_average_precision(spark, d):
+    ap = E.average_precision(_predictions(spark, d), "truth", {c: f"p_{c}" for c in CLASSES})
+    return ap.agg(F.count(F.lit(1)).alias("n_classes"), F.avg("ap").alias("ap_macro"), F.min("ap").alias("ap_worst"))
+
+
 # E-14 -----------------------------------------------------------------------
 @query("e14_coverage_by_threshold", _PRED_CTE + "\n" + "\nUNION ALL\n".join(
     f"""SELECT CAST({t} AS DOUBLE) AS threshold, count(*) FILTER (WHERE confidence >= {t}) / count(*) AS coverage,

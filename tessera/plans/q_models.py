@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.hashing import row_uniform, row_uniform_sql
 from tessera.operators import cluster as C
+from tessera.operators import describe as D
 from tessera.operators import evaluate as E
 from tessera.operators import forecast as FC
 from tessera.operators import models as M
@@ -55,20 +56,23 @@ def r01_mean_baseline_metrics(spark, d):
 tr AS (SELECT avg(y) AS m FROM regression_rows WHERE NOT ({SPLIT_SQL})),
 te AS (SELECT retail_price, y AS y_true, (SELECT m FROM tr) AS y_pred FROM regression_rows WHERE {SPLIT_SQL}),
 q AS (SELECT quantile_cont(retail_price, 0.25) AS e1, quantile_cont(retail_price, 0.5) AS e2,
-             quantile_cont(retail_price, 0.75) AS e3 FROM te),
-s AS (SELECT te.*, CAST((retail_price > e1)::INT + (retail_price > e2)::INT + (retail_price > e3)::INT AS INTEGER) AS segment
+             quantile_cont(retail_price, 0.75) AS e3, min(retail_price) AS e0, max(retail_price) AS e4 FROM te),
+s AS (SELECT te.*, e0, e1, e2, e3, e4, CAST((retail_price > e1)::INT + (retail_price > e2)::INT + (retail_price > e3)::INT AS INTEGER) AS segment
       FROM te, q)
-SELECT segment, avg(abs(y_true - y_pred)) AS mae, sqrt(avg((y_true - y_pred) ^ 2)) AS rmse,
+SELECT segment, CASE segment WHEN 0 THEN printf('[%.4f, %.4f]', e0, e1) WHEN 1 THEN printf('(%.4f, %.4f]', e1, e2)
+                     WHEN 2 THEN printf('(%.4f, %.4f]', e2, e3) ELSE printf('(%.4f, %.4f]', e3, e4) END AS label,
+       avg(abs(y_true - y_pred)) AS mae, sqrt(avg((y_true - y_pred) ^ 2)) AS rmse,
        1 - avg((y_true - y_pred) ^ 2) / var_pop(y_true) AS r2,
        avg(CASE WHEN y_true <> 0 THEN abs((y_true - y_pred) / y_true) END) AS mape,
-       count(*) AS n_obs, count(*) FILTER (WHERE y_true = 0) AS n_zero_y FROM s GROUP BY segment""",
+       count(*) AS n_obs, count(*) FILTER (WHERE y_true = 0) AS n_zero_y FROM s GROUP BY ALL""",
        doubles=["mae", "rmse", "r2", "mape"])
 def e03_metrics_by_segment(spark, d):
     """Mean-baseline errors by retail-price quartile (qcut edges, right-closed)."""
     tr, te = _rr_split(spark, d)
     p = te.select("retail_price", F.col("y").alias("y_true"), F.lit(M.mean_baseline(tr, "y")).alias("y_pred"))
     seg = E.quantile_segments(p, "retail_price", 4)
-    return E.regression_metrics(seg, by="segment", mape_percent=False)
+    label = F.format_string("%s%.4f, %.4f]", F.when(F.col("segment") == 0, "[").otherwise("("), "seg_lo", "seg_hi")
+    return E.regression_metrics(seg.withColumn("label", label), by=["segment", "label"], mape_percent=False)
 
 
 # R-02 … R-06 / E-04 ---------------------------------------------------------
@@ -370,3 +374,17 @@ def p15_adf(spark, d):
     lvl = FC.adf(s).withColumn("on", F.lit("level"))
     dif = FC.adf(s, difference=True).withColumn("on", F.lit("difference"))
     return lvl.unionByName(dif)
+
+
+# D-06 -----------------------------------------------------------------------
+@query("d06_residuals", with_sql(REGRESSION_ROWS_SQL) + f""",
+f AS (SELECT regr_slope(y, quantity) AS b, regr_intercept(y, quantity) AS a FROM regression_rows WHERE NOT ({SPLIT_SQL}))
+SELECT id, y AS y_true, a + b * quantity AS y_pred, y - (a + b * quantity) AS resid
+FROM regression_rows, f WHERE {SPLIT_SQL}""", doubles=["y_true", "y_pred", "resid"], digits=4)
+def d06_residuals(spark, d):
+    """Actual, predicted and residual value of every test row for the
+    least-squares line of y on quantity."""
+    tr, te = _rr_split(spark, d)
+    line = D.fitted_line(tr, "quantity", "y").first()
+    pred = F.lit(line["intercept"]) + F.lit(line["slope"]) * F.col("quantity")
+    return te.select("id", F.col("y").alias("y_true"), pred.alias("y_pred"), (F.col("y") - pred).alias("resid"))

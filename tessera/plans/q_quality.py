@@ -95,6 +95,19 @@ def q07_words_by_lang(spark, d):
     return D.group_describe(docs, "lang", ["n_words", "n_chars"])
 
 
+@query("a14_text_extremes", """
+SELECT lang, count(text) AS n, min({'n': length(text), 'd': doc_id}).n AS min_chars,
+       min({'n': length(text), 'd': doc_id}).d AS shortest_id, max({'n': length(text), 'd': -doc_id}).n AS max_chars,
+       -max({'n': length(text), 'd': -doc_id}).d AS longest_id FROM documents WHERE text IS NOT NULL GROUP BY lang""")
+def a14_text_extremes(spark, d):
+    """Shortest and longest text per language (ties: smallest id)."""
+    docs = D.text_lengths(table(spark, d, "documents").filter("text IS NOT NULL"), "text")
+    n = F.col("n_chars").cast("long")
+    return docs.groupBy("lang").agg(
+        F.count("text").alias("n"), F.min(n).alias("min_chars"), F.min_by("doc_id", F.struct(n, "doc_id")).alias("shortest_id"),
+        F.max(n).alias("max_chars"), F.max_by("doc_id", F.struct(n, -F.col("doc_id"))).alias("longest_id"))
+
+
 # Q-08 -----------------------------------------------------------------------
 @query("q08_all_null_rows", GAPS + """
 SELECT customer_id, region FROM profile_with_gaps
@@ -328,3 +341,19 @@ def f13_impute_train_mean(spark, d):
 def f14_negative_counts(spark, d):
     return Q.negative_counts(customer_profile(spark, d),
                              ["income", "spend", "ticket", "frequency", "tenure_days"])
+
+
+@query("f13_impute_arrays", f"""
+WITH x AS (SELECT vec_id, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS dim,
+                  {row_uniform_sql('vec_id', 42)} < 0.2 AS test FROM embeddings),
+g AS (SELECT vec_id, dim, test, CASE WHEN (vec_id + dim) % 31 <> 0 THEN CAST(x AS DOUBLE) END AS x FROM x),
+m AS (SELECT dim, avg(x) AS m FROM g WHERE NOT test GROUP BY dim)
+SELECT vec_id, test, count(*) AS n_dims, sum(coalesce(x, m)) AS total, max(coalesce(x, m)) AS largest
+FROM g JOIN m USING (dim) GROUP BY vec_id, test""", doubles=["total", "largest"])
+def f13_impute_arrays(spark, d):
+    """Embeddings with gaps (vec_id + dim divisible by 31) filled by train means."""
+    e = table(spark, d, "embeddings").select("vec_id", (row_uniform("vec_id", 42) < 0.2).alias("test"), F.transform(
+        "embedding", lambda x, i: F.when((F.col("vec_id") + i) % 31 != 0, x.cast("double"))).alias("v"))
+    tr, te = Q.impute_array_mean(e.filter("NOT test"), e.filter("test"), "v")
+    return tr.unionByName(te).select("vec_id", "test", F.size("v").cast("long").alias("n_dims"),
+                                     F.aggregate("v", F.lit(0.0), lambda a, x: a + x).alias("total"), F.array_max("v").alias("largest"))

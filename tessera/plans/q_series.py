@@ -155,6 +155,22 @@ def p16_acf(spark, d):
     return T.acf(daily_series(spark, d), 40)
 
 
+@query("p16_pacf")
+def p16_pacf(spark, d):
+    return T.pacf(T.acf(daily_series(spark, d), 40))
+
+
+# E-04 -----------------------------------------------------------------------
+@query("e04_improvement_over_seasonal", _METRICS_SQL + """,
+m AS (SELECT model, horizon, sqrt(avg((y_true - y_pred) ^ 2)) AS rmse FROM preds GROUP BY model, horizon)
+SELECT m.model, m.horizon, m.rmse, 1 - m.rmse / b.rmse AS rmse_improvement
+FROM m JOIN m b ON m.horizon = b.horizon AND b.model = 'seasonal_naive'""", doubles=["rmse", "rmse_improvement"])
+def e04_improvement_over_seasonal(spark, d):
+    preds = T.baseline_predictions(T.walk_forward_frame(daily_series(spark, d), N_TEST))
+    m = E.regression_metrics(preds, by=["model", "horizon"]).select("model", "horizon", "rmse")
+    return E.improvement(m, m.filter("model = 'seasonal_naive'"), on=["horizon"])
+
+
 # P-17 / P-18 ----------------------------------------------------------------
 _DECOMP_SQL = DS + f""",
 p AS (SELECT series_id, ds, close, row_number() OVER ({W}) - 1 AS pos,
@@ -180,3 +196,25 @@ SELECT series_id, max(seasonal) - min(seasonal) AS seasonal_amplitude, max(trend
        doubles=["seasonal_amplitude", "trend_amplitude", "ratio"], digits=4)
 def p18_seasonality_strength(spark, d):
     return T.seasonality_strength(T.seasonal_decompose(daily_series(spark, d), 5))
+
+
+@query("p17_decompose_extended", DS + f""",
+p AS (SELECT series_id, ds, close, row_number() OVER ({W}) - 1 AS pos,
+             count(*) OVER ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS nw,
+             avg(close) OVER ({W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING) AS aw FROM daily_series),
+t AS (SELECT series_id, ds, close, pos, CASE WHEN nw = 5 THEN aw END AS trend FROM p),
+e AS (SELECT series_id, min(pos) AS lo, max(pos) AS hi FROM t WHERE trend IS NOT NULL GROUP BY 1),
+f AS (SELECT t.series_id, lo, hi, regr_intercept(trend, pos) FILTER (WHERE pos < lo + 5) AS a0,
+             regr_slope(trend, pos) FILTER (WHERE pos < lo + 5) AS a1,
+             regr_intercept(trend, pos) FILTER (WHERE pos > hi - 5) AS z0,
+             regr_slope(trend, pos) FILTER (WHERE pos > hi - 5) AS z1
+      FROM t JOIN e USING (series_id) GROUP BY ALL),
+x AS (SELECT t.series_id, ds, close, pos % 5 AS phase,
+             CASE WHEN pos < lo THEN a0 + a1 * pos WHEN pos > hi THEN z0 + z1 * pos ELSE trend END AS trend
+      FROM t LEFT JOIN f USING (series_id)),
+i AS (SELECT series_id, phase, avg(close - trend) AS s FROM x GROUP BY ALL),
+c AS (SELECT series_id, phase, s - avg(s) OVER (PARTITION BY series_id) AS seasonal FROM i)
+SELECT series_id, ds, trend, seasonal, close - trend - seasonal AS resid FROM x LEFT JOIN c USING (series_id, phase)""",
+       doubles=["trend", "seasonal", "resid"], digits=4)
+def p17_decompose_extended(spark, d):
+    return T.seasonal_decompose(daily_series(spark, d), 5, extend=True).select("series_id", "ds", "trend", "seasonal", "resid")
