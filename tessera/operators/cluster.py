@@ -8,7 +8,10 @@ the rows as literal column expressions or a broadcast of k rows.
 
 from __future__ import annotations
 
+from multiprocessing.pool import ThreadPool
+
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -120,6 +123,9 @@ def pca_vector_scores(df: DataFrame, fitted: dict, vec_col: str, keep=()) -> Dat
 
 
 # ---------------------------------------------------------------- C-03 / C-04
+RUNS = 4
+
+
 def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
     """Feature vectors of the rows complete in ``cols``; the others (null or NaN,
     counted by Q-02) cannot be placed and are left out."""
@@ -127,18 +133,20 @@ def assemble(df: DataFrame, cols, out: str = "features") -> DataFrame:
 
 
 def kmeans_best(df: DataFrame, cols, k: int, n_init: int = 10, seed: int = 42, max_iter: int = 300):
-    """C-03: k-means‖ runs with ``n_init`` seeds; keep the lowest training
-    cost. Cluster ids are renumbered by the lexicographic order of the
+    """C-03: k-means‖ runs with ``n_init`` seeds, RUNS at a time (each is a
+    string of small jobs); keep the lowest training cost, of equal ones the
+    first seed. Cluster ids are renumbered by the lexicographic order of the
     centroids so labels are stable across runs."""
     data = assemble(df, cols).persist()
-    best = None
-    for i in range(n_init):
+
+    def fit(i):
         m = KMeans(k=k, seed=seed + i, maxIter=max_iter, tol=1e-4, featuresCol="features",
                    predictionCol="__c").fit(data)
-        cost = m.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (m, cost)
-    model, cost = best
+        return m.summary.trainingCost, i, m
+
+    with ThreadPool(RUNS) as pool:
+        cost, _, model = min(pool.map(inheritable_thread_target(df.sparkSession)(fit), range(n_init)),
+                             key=lambda run: run[:2])
     centers = model.clusterCenters()
     order = sorted(range(k), key=lambda j: tuple(centers[j]))
     relabel = {old: new for new, old in enumerate(order)}
@@ -155,7 +163,7 @@ def silhouette(labelled: DataFrame, cluster: str = "cluster") -> float:
     return float(ev.evaluate(labelled))
 
 
-def k_sweep(df: DataFrame, cols, ks, n_init: int = 3, seed: int = 42) -> DataFrame:
+def k_sweep(df: DataFrame, cols, ks, n_init: int = 10, seed: int = 42) -> DataFrame:
     """C-04: inertia and silhouette for each k."""
     rows = []
     for k in ks:
@@ -238,7 +246,7 @@ def purity_recall(df: DataFrame, cluster: str, segment: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------------- C-08
-def compare_feature_sets(df: DataFrame, cols_a, cols_b, k: int, n_init: int = 3, seed: int = 42,
+def compare_feature_sets(df: DataFrame, cols_a, cols_b, k: int, n_init: int = 10, seed: int = 42,
                          id_col: str = "id") -> DataFrame:
     """C-08: cluster on two feature sets; silhouette of each and ARI between them."""
     la, _, _ = kmeans_best(df, cols_a, k, n_init, seed)

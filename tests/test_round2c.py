@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tessera.operators import cluster as C
 from tessera.operators import describe as D
 from tessera.operators import timeseries as T
 
@@ -45,3 +46,15 @@ def test_density_equals_the_sum_of_kernels(spark):
     for r in D.kde(df, "v", 9).collect():
         want = np.exp(-0.5 * ((r.x - v) / h) ** 2).sum() / (len(v) * h * np.sqrt(2 * np.pi))
         assert r.x == 1.0 + r.g and r.density == pytest.approx(want)
+
+
+def test_kmeans_restarts_find_the_blobs(spark):
+    rng = np.random.default_rng(2)
+    centres = [(-9.0, 0.0), (0.0, 9.0), (9.0, 0.0)]
+    rows = [(i, *map(float, np.array(centres[i % 3]) + rng.normal(0, 0.2, 2))) for i in range(90)] + [(90, None, 1.0)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    lab, found, cost = C.kmeans_best(df, ["x", "y"], 3, n_init=10)
+    assert np.allclose(found, centres, atol=0.3) and cost < 20
+    assert {(r["id"] % 3, r["cluster"]) for r in lab.collect()} == {(0, 0), (1, 1), (2, 2)}
+    again = C.kmeans_best(df.repartition(1), ["x", "y"], 3, n_init=10)[2]
+    assert again == pytest.approx(cost)
