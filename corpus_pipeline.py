@@ -22,10 +22,12 @@ def _with_length(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language (no letter at all) go. The
-    network is trained on the labelled rows outside the held-out fold; a table
-    without labels rejects everything, for then nothing can be recognised."""
-    net = byte_cnn.fit(docs.where(~byte_cnn.held_out()))
+    """Documents without a recognisable language go: those without a letter and
+    those that the network's reject class takes (dumps, markup, scripts of no
+    label). The network is trained on the labelled rows outside the held-out
+    fold; a table without labels rejects everything, for then nothing can be
+    recognised."""
+    net = byte_cnn.fit(docs.where(~byte_cnn.held_out()), reject=True)
     return byte_cnn.keep_known(docs, net)
 
 

@@ -11,11 +11,15 @@ entries a table), so a width-4 filter costs two gathers per byte.
 
 Only the training sample is bounded (parameters ``per_label`` documents a label,
 ``windows_per_doc`` windows a document); prediction covers whole texts.
+
+With ``reject`` the network has one class more, trained on generated windows
+that are no language (see :func:`noise_windows`). A document whose mean
+probability of that class exceeds REJECT_ABOVE is ``und``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +33,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 12                 # per width
 UNKNOWN = "und"
+REJECT_ABOVE = 0.5           # the reject class outweighs all languages together
+MIN_NOISE = 300              # generated windows, at least
 
 
 @dataclass
@@ -36,8 +42,9 @@ class ByteCNN:
     labels: list[str]
     tables: list[np.ndarray]          # per width: [width, 256, FILTERS]
     bias: list[np.ndarray]            # per width: [FILTERS]
-    dense: np.ndarray                 # [len(WIDTHS) * FILTERS, labels]
+    dense: np.ndarray                 # [len(WIDTHS) * FILTERS, labels (+ 1: the reject class)]
     dense_bias: np.ndarray
+    reject: bool = False              # whether the last class is the reject class
 
 
 def _pool(x: np.ndarray, tables, bias):
@@ -154,6 +161,47 @@ def windows_of(b: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return x, doc, used
 
 
+_HEX, _UPPER_HEX = b"0123456789abcdef", b"0123456789ABCDEF"
+_BASE64 = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+_DUMP = b"0123456789abcdefABCDEF-:{}, \n"
+_TAGS = (b"div", b"span", b"td", b"a", b"li", b"p", b"br", b"tr")
+
+
+def noise_windows(clean: list[bytes], n: int, rng: np.random.Generator) -> np.ndarray:
+    """``n`` windows that are no language: runs of hex (either case) and base64
+    with and without breaks, markup without text, printable bytes, dumps, and
+    random characters of scripts that ``clean`` does not use."""
+    used = {ord(c) >> 6 for raw in clean for c in raw.decode("utf-8", "ignore")}
+    scripts = [k for k in range(0x370 >> 6, 0xD000 >> 6) if k not in used]
+    out = np.zeros((n, WINDOW), np.uint8)
+    pick = lambda signs, size: rng.choice(np.frombuffer(signs, np.uint8), size)
+    for i in range(n):
+        size, kind = int(rng.integers(24, WINDOW + 1)), i % 7
+        if kind < 3:
+            b = pick((_HEX, _UPPER_HEX, _BASE64)[kind], size)
+            if rng.random() < 0.5:
+                every = int(rng.choice([2, 4, 8, 16, 32, 64, 76]))
+                b[every::every + 1] = rng.choice([32, 10])
+        elif kind == 3:
+            parts, length = [], 0
+            while length < size:
+                t = _TAGS[rng.integers(len(_TAGS))]
+                parts.append((b"<%s>" % t, b"</%s>" % t, b'<%s class="c%d">' % (t, rng.integers(99)),
+                              b'<%s id="x%d"/>' % (t, rng.integers(999)), b"&nbsp;", b"&#%d;" % rng.integers(999))[rng.integers(6)])
+                length += len(parts[-1])
+            b = np.frombuffer(b"".join(parts)[:size], np.uint8)
+        elif kind == 4:
+            b = rng.integers(33, 127, size).astype(np.uint8)
+        elif kind == 5 or not scripts:
+            b = pick(_DUMP, size)
+        else:
+            code = (scripts[rng.integers(len(scripts))] << 6) + rng.integers(0, 64, size)
+            code[rng.random(size) < 0.15] = 32
+            b = np.frombuffer("".join(map(chr, code)).encode()[:size], np.uint8)
+        out[i, :size] = b
+    return out
+
+
 # -------------------------------------------------------------------- on Spark
 def training_sample(df: DataFrame, label: str, text: str, per_label: int, windows_per_doc: int) -> list:
     """[(label, window bytes)]: up to ``per_label`` different texts a label, chosen
@@ -182,10 +230,11 @@ def training_sample(df: DataFrame, label: str, text: str, per_label: int, window
 
 
 def fit(df: DataFrame, label: str = "lang", text: str = "text", per_label: int = 400,
-        windows_per_doc: int = 3, epochs: int = 25) -> ByteCNN | None:
+        windows_per_doc: int = 3, epochs: int = 25, reject: bool = False) -> ByteCNN | None:
     """Train on a bounded sample of the labelled rows of ``df``; None when no
     row has both a label and a letter. Every window also trains as a short
-    piece, so that short texts are in the training distribution."""
+    piece, so that short texts are in the training distribution. ``reject``
+    adds the reject class, with as many windows as a label has on average."""
     sample = training_sample(df, label, text, per_label, windows_per_doc)
     if not sample:
         return None
@@ -201,14 +250,20 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", per_label: int =
         part[:size] = np.frombuffer(raw[at:at + size], np.uint8)
         x += [row, part]
         y += [labels.index(name)] * 2
-    return train(np.array(x), np.array(y), labels, epochs=epochs)
+    if not reject:
+        return train(np.array(x), np.array(y), labels, epochs=epochs)
+    noise = noise_windows([raw for _, raw in sample], max(MIN_NOISE, len(sample) // len(labels)), rng)
+    net = train(np.concatenate([np.array(x), noise]), np.array(y + [len(labels)] * len(noise)), [*labels, UNKNOWN],
+                epochs=epochs)
+    return replace(net, labels=labels, reject=True)
 
 
 def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[Column] = ()) -> DataFrame:
     """``carry`` columns plus lang_pred and score (mean probability of the
-    predicted label, 0 to 1). A null text, a text without a letter, or no
-    trained network gives ``und`` with score 0; ties go to the label that
-    sorts first. Rows are independent, so repeated rows agree."""
+    predicted label, 0 to 1). A null text, a text without a letter, no trained
+    network, or a text that the reject class takes gives ``und`` with score 0;
+    ties go to the label that sorts first. Rows are independent, so repeated
+    rows agree."""
     prepare(df.sparkSession)
     slim = df.select(*carry, F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)).alias("__letter"),
                      F.col(text).alias("__text"))
@@ -220,7 +275,7 @@ def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[
         for rb, b, off in text_blocks(batches, "__text", 1 << 20):
             n = rb.num_rows
             letter = rb.column(len(kept)).to_numpy(zero_copy_only=False)
-            p = np.zeros((n, len(net.labels) if net else 1))
+            p = np.zeros((n, len(net.dense_bias) if net else 1))
             if net and len(b):
                 x, doc, used = windows_of(b, off)
                 for lo in range(0, len(x), 512):
@@ -228,6 +283,9 @@ def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[
                     np.add.at(p, doc[lo:lo + 512], q)
                 p /= np.maximum(np.diff(off), 1)[:, None]
             known = letter & bool(net)
+            if net and net.reject:
+                known &= p[:, -1] <= REJECT_ABOVE
+                p = p[:, :-1]
             best = p.argmax(1)
             names = [net.labels[k] if ok else UNKNOWN for k, ok in zip(best, known)]
             sure = np.where(known, np.minimum(p.max(1), 1.0), 0.0)
@@ -239,7 +297,9 @@ def predict(df: DataFrame, net: ByteCNN | None, text: str = "text", carry: list[
 
 def keep_known(df: DataFrame, net: ByteCNN | None, text: str = "text", least: float = 0.0) -> DataFrame:
     """The rows of ``df`` whose language is known with a score of at least
-    ``least``; all columns pass through whatever their names."""
+    ``least``; a network with a reject class decides which those are, one
+    without keeps every text with a letter. All columns pass through whatever
+    their names."""
     names = df.columns
     carry = [F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)]
     return predict(df, net, text, carry).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)) \
