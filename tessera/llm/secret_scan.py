@@ -3,13 +3,16 @@
 One pass over whole texts finds *base* spans (assignments, access keys, long
 hex), which stand on their own, and *parts*: weak candidates for an access
 identifier, a secret or an endpoint that mean nothing alone. An interval join
-then links parts to complementary parts of the same row whose starts lie at
-most SCOPE code points apart; only linked weak candidates are reported.
+then links parts to complementary parts of the same row that do not overlap
+them and lie at most SCOPE code points off (from the end of the one to the start
+of the other); only linked weak candidates are reported.
 
 The join never lists pairs. Positions are cut into cells of SCOPE code points;
-per (row, role, cell) only the first and last start are kept, which decides for
-every candidate whether some partner lies in reach: in its own cell always, in
-the cell before by the last start, in the cell after by the first start.
+per (row, role, cell) the first and last start and the first and last end are
+kept, which decides for every candidate whether some partner lies in reach. A
+partner before it ends in the cell of its start (the first end decides) or in
+the cell before (the last end decides); one after it starts in the cell of its
+end (the last start decides) or in the next (the first start decides).
 """
 
 from __future__ import annotations
@@ -101,18 +104,25 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
     lookup = F.create_map(*[F.lit(x) for kv in ROLE.items() for x in kv])
     wanted = F.create_map(*[x for k, v in PARTNERS.items() for x in (F.lit(k), F.array(*map(F.lit, v)))])
     some = found.where(F.size("weak") > 0)
+    cell = lambda at: F.floor(at / scope).cast("long")
+    point = lambda side, at: F.struct(F.lit(side).alias("side"), at.alias("at"))
     parts = some.select(*keys, F.explode(F.concat("base", "weak")).alias("s")) \
-        .select(*keys, lookup[F.col("s.kind")].alias("role"), F.col("s.start").alias("start"),
-                F.expr(f"s.start div {scope}").alias("cell"))
-    cells = parts.groupBy(*keys, "role", "cell").agg(F.min("start").alias("first"), F.max("start").alias("last"))
+        .select(*keys, lookup[F.col("s.kind")].alias("role"),
+                F.explode(F.array(point("end", F.col("s.end")), point("start", F.col("s.start")))).alias("p")) \
+        .select(*keys, "role", "p.side", "p.at", cell(F.col("p.at")).alias("cell"))
+    cells = parts.groupBy(*keys, "role", "side", "cell").agg(F.min("at").alias("first"), F.max("at").alias("last"))
+    look = lambda side, at, step: F.struct(F.lit(side).alias("side"), F.lit(step).alias("step"), (cell(at) + step).alias("cell"))
     near = some.select(*keys, F.explode("weak").alias("s")) \
         .select(*keys, "s", F.explode(wanted[F.col("s.kind")]).alias("role")) \
-        .select(*keys, "s", "role", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))).alias("step")) \
-        .withColumn("cell", F.expr(f"s.start div {scope}") + F.col("step"))
-    in_reach = F.when(F.col("step") == 0, True) \
-        .when(F.col("step") < 0, F.col("s.start") - F.col("last") <= scope) \
-        .otherwise(F.col("first") - F.col("s.start") <= scope)
-    return null_safe(near, cells, [*keys, "role", "cell"]).where(in_reach) \
+        .select(*keys, "s", "role", F.explode(F.array(
+            look("end", F.col("s.start"), 0), look("end", F.col("s.start"), -1),
+            look("start", F.col("s.end"), 0), look("start", F.col("s.end"), 1))).alias("l")) \
+        .select(*keys, "s", "role", "l.side", "l.step", "l.cell")
+    in_reach = F.when(F.col("side") == "end", F.when(F.col("step") == 0, F.col("first") <= F.col("s.start"))
+                      .otherwise(F.col("s.start") - F.col("last") <= scope)) \
+        .otherwise(F.when(F.col("step") == 0, F.col("last") >= F.col("s.end"))
+                   .otherwise(F.col("first") - F.col("s.end") <= scope))
+    return null_safe(near, cells, [*keys, "role", "side", "cell"]).where(in_reach) \
         .groupBy(*keys).agg(F.collect_set("s").alias("links"))
 
 
