@@ -180,7 +180,8 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
                        shingle: int = 3, radius: int = 3) -> DataFrame:
     """One row per row of ``df``: doc_id, text_key, fingerprint (16 hex digits),
     component_id = smallest doc_id reachable over links of at most ``radius``
-    differing bits.
+    differing bits, comp = the component itself (its least fingerprint as a
+    long), which differs between unlinked texts that share a doc_id.
 
     Null and empty texts have fingerprint zero and link like any other. Rows
     without a doc_id take part in links but never name a component: a component
@@ -192,22 +193,20 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text: str = "text"
     linked = nodes.join(comp.withColumnRenamed("node", "fp"), "fp", "left") \
         .withColumn("comp", F.coalesce("comp", "fp"))
     least = linked.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_fp = cut(linked.select("fp", "comp").join(least, "comp").select("fp", "component_id"), "simhash-classes")
+    by_fp = cut(linked.select("fp", "comp").join(least, "comp").select("fp", "comp", "component_id"), "simhash-classes")
     return rows.join(by_fp, "fp") \
-        .select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        .select("doc_id", "text_key", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "comp")
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = 3,
              radius: int = 3) -> DataFrame:
-    """``df`` with one row of each component: the one with the smallest doc_id
-    (rows of a component without doc_ids: one per fingerprint, of least text
-    key); of rows equal in doc_id and text, one stays."""
+    """``df`` with one row of each component: of its rows with the smallest
+    doc_id (null where no row of it has one) the one of least text key; of rows
+    equal in doc_id and text, one stays. Unlinked texts under one doc_id are
+    components of their own and each keep a row."""
     found = simhash_components(df, id_col, text, shingle, radius)
-    known = found.where("component_id IS NOT NULL").where("doc_id = component_id") \
-        .groupBy("doc_id").agg(F.min("text_key").alias("text_key"))
-    nameless = found.where("component_id IS NULL").groupBy("fingerprint").agg(F.min("text_key").alias("text_key")) \
-        .select(F.lit(None).cast("long").alias("doc_id"), "text_key")
-    chosen = known.unionByName(nameless) \
+    chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
+        .groupBy("comp", "doc_id").agg(F.min("text_key").alias("text_key")) \
         .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
     extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
     return null_safe(df.withColumns(extra), chosen, ["__doc", "__key"], "left_semi") \
