@@ -206,19 +206,22 @@ def noise_windows(clean: list[bytes], n: int, rng: np.random.Generator) -> np.nd
 def training_sample(df: DataFrame, label: str, text: str, per_label: int, windows_per_doc: int) -> list:
     """[(label, window bytes)]: up to ``per_label`` different texts a label, chosen
     by a hash of the text, and evenly spaced windows of each. The draw is a
-    filter inside the scan (copies of a text are drawn together, so it takes
-    four times what is needed); only this bounded sample is shuffled and reaches
-    the driver."""
-    count = {r["label"]: r["n"] for r in df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("label"))
-             .agg(F.count(F.lit(1)).alias("n")).collect()}      # one number per class of the network
+    filter inside the scan at four times the rate needed, taken from the number
+    of different texts with a letter, so copies and texts without a letter do
+    not thin it out: min(per_label, different texts) a label are reached. That
+    number is an aggregate over hashes; of the texts only the bounded sample is
+    shuffled and reaches the driver."""
+    lettered = df.where(F.col(label).isNotNull() & F.col(text).rlike(r"\p{L}")) \
+        .select(F.col(label).alias("label"), F.col(text).alias("text"), F.xxhash64(text).alias("hash"))
+    count = {r["label"]: r["n"] for r in lettered.select("label", "hash").distinct()
+             .groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}      # one number per class of the network
     if not count:
         return []
     share = F.create_map(*[F.lit(x) for k, n in count.items() for x in (k, (4 * per_label + 20) / n)])
-    draw = F.pmod(F.xxhash64(text), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    few = df.select(F.col(label).alias("label"), F.col(text).alias("text"), draw.alias("draw")) \
-        .where(F.col("label").isNotNull() & (F.col("draw") < share[F.col("label")])) \
-        .where(F.col("text").rlike(r"\p{L}"))
-    ranked = few.dropDuplicates(["label", "draw"]).withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("draw"))) \
+    draw = F.pmod("hash", F.lit(1 << 30)) / F.lit(float(1 << 30))
+    few = lettered.withColumn("draw", draw).where(F.col("draw") < share[F.col("label")])
+    ranked = few.dropDuplicates(["label", "hash"]) \
+        .withColumn("i", F.row_number().over(Window.partitionBy("label").orderBy("draw", "hash"))) \
         .where(F.col("i") <= per_label)
     raw = F.col("text").cast("binary")
     size = F.octet_length("text")
