@@ -202,6 +202,19 @@ def noise_windows(clean: list[bytes], n: int, rng: np.random.Generator) -> np.nd
     return out
 
 
+def mixed_windows(clean: list[bytes], noise: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Per clean window a short piece of it beside a piece of noise: a few
+    words next to a key or a number are still a language."""
+    out = np.zeros((len(clean), WINDOW), np.uint8)
+    for row, raw in zip(out, clean):
+        size = min(len(raw), int(rng.integers(24, 64)))
+        at = int(rng.integers(0, len(raw) - size + 1))
+        parts = [raw[at:at + size], noise[rng.integers(len(noise))].tobytes()[:int(rng.integers(12, 48))].rstrip(b"\0")]
+        both = b" ".join(parts if rng.random() < 0.5 else parts[::-1])
+        row[:len(both)] = np.frombuffer(both, np.uint8)
+    return out
+
+
 # -------------------------------------------------------------------- on Spark
 def training_sample(df: DataFrame, label: str, text: str, per_label: int, windows_per_doc: int) -> list:
     """[(label, window bytes)]: up to ``per_label`` different texts a label, chosen
@@ -237,7 +250,7 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", per_label: int =
     """Train on a bounded sample of the labelled rows of ``df``; None when no
     row has both a label and a letter. Every window also trains as a short
     piece, so that short texts are in the training distribution. ``reject``
-    adds the reject class, with as many windows as a label has on average."""
+    adds the reject class, with as many windows as the sample."""
     sample = training_sample(df, label, text, per_label, windows_per_doc)
     if not sample:
         return None
@@ -255,9 +268,10 @@ def fit(df: DataFrame, label: str = "lang", text: str = "text", per_label: int =
         y += [labels.index(name)] * 2
     if not reject:
         return train(np.array(x), np.array(y), labels, epochs=epochs)
-    noise = noise_windows([raw for _, raw in sample], max(MIN_NOISE, len(sample) // len(labels)), rng)
-    net = train(np.concatenate([np.array(x), noise]), np.array(y + [len(labels)] * len(noise)), [*labels, UNKNOWN],
-                epochs=epochs)
+    noise = noise_windows([raw for _, raw in sample], max(MIN_NOISE, len(sample)), rng)
+    mixed = mixed_windows([raw for _, raw in sample], noise, rng)
+    y += [labels.index(name) for name, _ in sample] + [len(labels)] * len(noise)
+    net = train(np.concatenate([np.array(x), mixed, noise]), np.array(y), [*labels, UNKNOWN], epochs=epochs)
     return replace(net, labels=labels, reject=True)
 
 
