@@ -11,6 +11,7 @@ from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
 from tessera.llm import line_dedup as ld
 from tessera.llm import packing
+from tessera.llm import periodic_runs as pr
 from tessera.llm import quality_rules as qr
 from tessera.llm import secret_scan as ss
 from tessera.llm import simhash as sh
@@ -108,3 +109,10 @@ def op5_suffix_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of 13-word runs seen in an earlier one."""
     return sd.substring_digests(documents(spark, sf_dir), window=13) \
         .select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@register
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every whole document, of which one in ten is looped."""
+    docs = documents(spark, sf_dir)
+    return pr.run_digests(docs.select("doc_id", pr.looped_texts(docs).alias("text")))
