@@ -9,6 +9,7 @@ from tessera.llm import block_names as bn
 from tessera.llm import bpe
 from tessera.llm import byte_cnn as cnn
 from tessera.llm import kd_shards as kd
+from tessera.llm import lexical_search as ls
 from tessera.llm import line_dedup as ld
 from tessera.llm import packing
 from tessera.llm import periodic_runs as pr
@@ -116,3 +117,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Periodic runs of every whole document, of which one in ten is looped."""
     docs = documents(spark, sf_dir)
     return pr.run_digests(docs.select("doc_id", pr.looped_texts(docs).alias("text")))
+
+
+@register
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of every benchmark item."""
+    return ls.ranked_search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), top=20)
+
+
+ORACLE_SQL["op13_ranked_search"] = ls.ORACLE_SQL
