@@ -12,6 +12,7 @@ from tessera.llm import kd_shards as kd
 from tessera.llm import lexical_search as ls
 from tessera.llm import line_dedup as ld
 from tessera.llm import packing
+from tessera.llm import parity_join as pj
 from tessera.llm import periodic_runs as pr
 from tessera.llm import quality_rules as qr
 from tessera.llm import secret_scan as ss
@@ -126,3 +127,10 @@ def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE_SQL["op13_ranked_search"] = ls.ORACLE_SQL
+
+
+@register
+def op12_parity_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle set size and near-duplicate class of every document: five words,
+    Jaccard similarity 0.8."""
+    return pj.jaccard_components(documents(spark, sf_dir))
