@@ -50,7 +50,7 @@ HEAVY = 1 << 16                      # shingles in the list of frequent ones
 LOCAL = 8                            # documents of one block that make a shingle a candidate for it
 CHUNK = 1 << 21                      # part values combined in a task before the shuffle
 TILE = 256
-FINE = 32                            # below this set size every position is a part of its own
+SMALL_ROWS = 1 << 19                 # rows of three numbers that a join may broadcast, after counting them
 _LOW2 = np.uint64(3)
 
 
@@ -136,18 +136,17 @@ class Sets:
 
     def parts(self, heavy: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(key, document) of the parts that each document keeps."""
-        band = _band(self.size)
-        grows = 5 * self.size // 4 >= 2 << band
+        level = _band(self.size) // 2                    # sizes 4^level to 4^(level + 1) - 1
+        grows = 5 * self.size // 4 >= 4 << (2 * level)
         some = self.size >= 4                            # smaller sets link to equal ones only
         who = np.concatenate([np.flatnonzero(some), np.flatnonzero(some & grows)])
-        level = np.concatenate([band[some], band[some & grows] + 1])
+        level = np.concatenate([level[some], level[some & grows] + 1])
         n = self.size[who]
         if not len(who):
             return np.zeros(0, np.uint64), who
         entry = np.repeat(np.arange(len(who)), n)
         token = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.edge[who], n)
-        count = np.where(2 << level >= 2 * FINE, 2 << level, 1 << 32).astype(np.uint64)
-        part = (self.mixed[token] >> np.uint64(31)) & (count[entry] - np.uint64(1))
+        part = ((self.mixed[token] >> np.uint64(32)) * part_count(level)[entry]) >> np.uint64(32)
         order = np.lexsort((part, entry))
         entry, part, token = entry[order], part[order], token[order]
         new = np.ones(len(entry), bool)
@@ -169,6 +168,14 @@ class Sets:
         return key[keep], who[entry[keep]]
 
 
+def part_count(level: np.ndarray) -> np.ndarray:
+    """Parts of the sketch in each size band: three shingles a part at the top
+    of a band, one in the band of 16 to 63, one position a part below. Then a
+    set keeps more non-zero parts than differences may spoil; that it does not
+    is less likely than an accident of the hashes."""
+    return np.choose(np.minimum(level, 3), [1 << 32, 1 << 32, 64, (4 << (2 * level)) // 3]).astype(np.uint64)
+
+
 def _band(size: np.ndarray) -> np.ndarray:
     """floor(log2(size)), 0 for empty sets."""
     return np.frexp(np.maximum(size, 1).astype(float))[1].astype(np.int64) - 1
@@ -328,7 +335,9 @@ _FITS = "(4 * (na + nb) + 8) div 9 <= least(na, nb)"
 def verified(docs: DataFrame, info: DataFrame, pairs: DataFrame, text: str, shingle: int) -> DataFrame:
     """(a, b, apart): the pairs with the exact size of their sets' difference."""
     ends = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-    reps = info.join(ends, "cls").select("doc_id", "text_key", "cls")
+    reps = cut(info.join(ends, "cls").select("doc_id", "text_key", "cls"), "parity-reps")
+    if reps.count() <= SMALL_ROWS:                       # else a sort-merge join moves the texts
+        reps = F.broadcast(reps)
     keyed = docs.select(F.col("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text"))
 
     def sets(batches):
@@ -355,18 +364,21 @@ def verified(docs: DataFrame, info: DataFrame, pairs: DataFrame, text: str, shin
     return cut(both.mapInArrow(run, "a long, b long, apart long"), "parity-verified")
 
 
-def _tile_pairs(rows: DataFrame, tile: int) -> DataFrame:
+def _tile_pairs(rows: DataFrame, info: DataFrame, tile: int) -> DataFrame:
     """(a, b): pairs of different components inside a key whose sketches are
-    near enough; ``rows`` holds key, cls, comp, n, sketch. Pieces with equal
-    members (one passage, many keys) are compared once."""
+    near enough; ``rows`` holds (key, cls), ``info`` comp, n and sketch of a
+    class. Pieces with equal members (one passage, many keys) are compared
+    once, and sketches travel once per different piece."""
     counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     pieces = cut(rows.join(counts, "key").withColumn("piece", F.pmod(F.xxhash64("cls"), F.ceil(F.col("m") / tile)).cast("int"))
-                 .groupBy("key", "piece").agg(F.sort_array(F.collect_list(F.struct("cls", "comp", "n", "sketch"))).alias("rows"))
-                 .withColumn("id", F.xxhash64("rows.cls")), "parity-tiles")
+                 .groupBy("key", "piece").agg(F.sort_array(F.collect_list("cls")).alias("members"))
+                 .withColumn("id", F.xxhash64("members")), "parity-tiles")
     light = pieces.select("key", "piece", "id")
     meet = light.join(light.select("key", F.col("piece").alias("other"), F.col("id").alias("with")), "key") \
         .where("piece <= other").select("id", "with").distinct()
-    body = pieces.select("id", "rows").dropDuplicates(["id"])
+    one = pieces.groupBy("id").agg(F.min("members").alias("members"))
+    body = cut(one.select("id", F.explode("members").alias("cls")).join(info, "cls")
+               .groupBy("id").agg(F.collect_list(F.struct("cls", "comp", "n", "sketch")).alias("rows")), "parity-bodies")
     pairs = meet.join(body, "id").withColumnRenamed("rows", "left") \
         .join(body.select(F.col("id").alias("with"), F.col("rows").alias("right")), "with").select("left", "right")
 
@@ -409,10 +421,12 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, groups: DataFrame, text: str
     state = members.join(checked, ["hub", "cls"], "left") \
         .select("key", "cls", F.coalesce("linked", F.lit(True)).alias("ball"), F.coalesce("far", F.lit(False)).alias("far"))
     within = state.where("NOT ball AND NOT far").select("key").distinct().withColumn("open", F.lit(True))
-    rest = state.join(within, "key", "left").where("NOT ball OR open").select("key", "cls") \
-        .join(comp.withColumnRenamed("node", "cls"), "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
+    named = cut(info.select("cls", "n", "sketch").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
+                .withColumn("comp", F.coalesce("comp", "cls")), "parity-named")
+    rest = cut(state.join(within, "key", "left").where("NOT ball OR open").select("key", "cls")
+               .join(named.select("cls", "comp"), "cls"), "parity-rest")
     split = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    pairs = _tile_pairs(rest.join(split, "key").join(info.select("cls", "n", "sketch"), "cls"), tile)
+    pairs = _tile_pairs(rest.join(split, "key").select("key", "cls"), named, tile)
     fresh = pairs.join(near.select("a", "b"), ["a", "b"], "left_anti")
     sized = fresh.join(info.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a") \
         .join(info.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
