@@ -46,9 +46,9 @@ from tessera.llm.common import (components, cut, flat, mix64, null_safe, text_bl
 from tessera.session import ship_package
 
 SHINGLE = 5
-HEAVY = 1 << 16                      # shingles in the list of frequent ones
-LOCAL = 8                            # documents of one block that make a shingle a candidate for it
-CHUNK = 1 << 21                      # part values combined in a task before the shuffle
+HEAVY = 1 << 18                      # shingles in the list of frequent ones
+LOCAL = 3                            # different sets of one chunk that make a shingle a candidate for it
+CHUNK = 1 << 21                      # part values combined in a task before the shuffle; twice as many shingles counted
 TILE = 256
 SMALL_ROWS = 1 << 19                 # rows of three numbers that a join may broadcast, after counting them
 _LOW2 = np.uint64(3)
@@ -126,7 +126,7 @@ class Sets:
         return out.view(np.int64)
 
     def sketches(self) -> list[bytes]:
-        """The parity sketch of each document folded to 2 to 4 bits a shingle."""
+        """The parity sketch of each document folded to one or two bits a shingle."""
         bits = sketch_bits(self.size)
         off = np.concatenate([[0], np.cumsum(bits)])
         pos = off[self.doc] + (self.mixed & (bits[self.doc] - 1).astype(np.uint64)).astype(np.int64)
@@ -182,7 +182,7 @@ def _band(size: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(size: np.ndarray) -> np.ndarray:
-    return np.maximum(64, 4 << _band(np.asarray(size)))
+    return np.maximum(64, 2 << _band(np.asarray(size)))
 
 
 def fold(sketch: np.ndarray, width: int) -> np.ndarray:
@@ -196,24 +196,35 @@ def fold(sketch: np.ndarray, width: int) -> np.ndarray:
 # ------------------------------------------------------------------ Spark steps
 def _scan(docs: DataFrame, id_col: str, text: str, shingle: int) -> DataFrame:
     """One row per document (doc_id, text_key, n, cls, sketch) and one per
-    shingle that LOCAL different sets of a block hold (token, seen)."""
+    shingle that LOCAL different sets of a chunk hold (token, seen)."""
+    names = ["doc_id", "text_key", "n", "cls", "sketch", "token", "seen"]
+
+    def often(held):
+        token, seen = np.unique(np.concatenate(held), return_counts=True)
+        token, seen = token[seen >= LOCAL], seen[seen >= LOCAL]
+        z = pa.nulls(len(token), pa.int64())
+        return pa.RecordBatch.from_arrays([z, z, z, z, pa.nulls(len(token), pa.binary()), pa.array(token.view(np.int64)),
+                                           pa.array(seen.astype(np.int64))], names)
+
     def run(batches):
+        held, known, count = [], np.zeros(0, np.int64), 0
         for rb, b, off in text_blocks(batches, "text"):
             s = Sets(b, off, shingle)
             cls = s.classes()
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(0), rb.column(1), pa.array(s.size.astype(np.int64)), pa.array(cls),
-                 pa.array(s.sketches(), pa.binary()), pa.nulls(len(cls), pa.int64()), pa.nulls(len(cls), pa.int64())],
-                ["doc_id", "text_key", "n", "cls", "sketch", "token", "seen"])
-            single = np.zeros(len(cls), bool)
-            single[np.unique(cls, return_index=True)[1]] = True
-            token, seen = np.unique(s.h[single[s.doc]], return_counts=True)
-            often = seen >= LOCAL
-            if often.any():
-                z = pa.nulls(int(often.sum()), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [z, z, z, z, pa.nulls(len(z), pa.binary()), pa.array(token[often].view(np.int64)), pa.array(seen[often].astype(np.int64))],
-                    ["doc_id", "text_key", "n", "cls", "sketch", "token", "seen"])
+            z = pa.nulls(len(cls), pa.int64())
+            yield pa.RecordBatch.from_arrays([rb.column(0), rb.column(1), pa.array(s.size.astype(np.int64)), pa.array(cls),
+                                              pa.array(s.sketches(), pa.binary()), z, z], names)
+            first = np.zeros(len(cls), bool)                 # copies count once
+            first[np.unique(cls, return_index=True)[1]] = True
+            first &= ~np.isin(cls, known)
+            known = np.concatenate([known, cls[first]])
+            held.append(s.h[first[s.doc]])
+            count += len(held[-1])
+            if count >= 2 * CHUNK:
+                yield often(held)
+                held, known, count = [], known[:0], 0
+        if held:
+            yield often(held)
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("text_key"), F.col(text).alias("text")) \
         .mapInArrow(run, "doc_id long, text_key long, n long, cls long, sketch binary, token long, seen long")
@@ -375,22 +386,22 @@ def _tile_pairs(rows: DataFrame, info: DataFrame, tile: int) -> DataFrame:
                  .withColumn("id", F.xxhash64("members")), "parity-tiles")
     light = pieces.select("key", "piece", "id")
     meet = light.join(light.select("key", F.col("piece").alias("other"), F.col("id").alias("with")), "key") \
-        .where("piece <= other").select("id", "with").distinct()
+        .where("piece < other").select("id", "with").distinct()
     one = pieces.groupBy("id").agg(F.min("members").alias("members"))
     body = cut(one.select("id", F.explode("members").alias("cls")).join(info, "cls")
                .groupBy("id").agg(F.collect_list(F.struct("cls", "comp", "n", "sketch")).alias("rows")), "parity-bodies")
-    pairs = meet.join(body, "id").withColumnRenamed("rows", "left") \
+    cross = meet.join(body, "id").withColumnRenamed("rows", "left") \
         .join(body.select(F.col("id").alias("with"), F.col("rows").alias("right")), "with").select("left", "right")
 
     def run(batches):
         for rb in batches:
             for i in range(rb.num_rows):
                 tiles = []
-                for col in (0, 1):
-                    v = rb.column(col)[i].values
+                for col in rb.columns:
+                    v = col[i].values
                     tiles.append([v.field("cls").to_numpy(), v.field("comp").to_numpy(), v.field("n").to_numpy(), v.field("sketch").to_pylist()])
                 width = min(len(s) for t in tiles for s in t[3])
-                (ca, pa_, na, sa), (cb, pb, nb, sb) = tiles
+                (ca, pa_, na, sa), (cb, pb, nb, sb) = tiles[0], tiles[-1]
                 right = np.stack([fold(np.frombuffer(s, np.uint8), width) for s in sb])
                 for k in range(len(ca)):
                     near = np.bitwise_count(fold(np.frombuffer(sa[k], np.uint8), width) ^ right).sum(1, dtype=np.int64) <= allowed(na[k], nb)
@@ -399,7 +410,8 @@ def _tile_pairs(rows: DataFrame, info: DataFrame, tile: int) -> DataFrame:
                         a = np.full(len(hit), ca[k])
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, cb[hit])), pa.array(np.maximum(a, cb[hit]))], ["a", "b"])
 
-    return cut(pairs.mapInArrow(run, "a long, b long").distinct(), "parity-pairs")
+    found = body.select("rows").mapInArrow(run, "a long, b long").union(cross.mapInArrow(run, "a long, b long"))
+    return cut(found.distinct(), "parity-pairs")
 
 
 def jaccard_links(docs: DataFrame, rows: DataFrame, groups: DataFrame, text: str, shingle: int, tile: int) -> DataFrame:
