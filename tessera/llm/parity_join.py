@@ -26,9 +26,10 @@ against each other:
 * the difference is a metric, so a member further from the hub than the two
   radii together links to no direct neighbour of the hub;
 * what is left of a group (members not at the hub, and the hub's neighbours only
-  where some member is within reach of them) is compared in tiles with numpy
-  exclusive-or and bit counts; only pairs of different components that pass
-  leave the task, and those are verified exactly.
+  where some member is within reach of them) gets ROUNDS further hubs, which
+  join most of a family of near copies, and is then compared in tiles with
+  numpy exclusive-or and bit counts; only pairs of different components that
+  pass leave the task, and those are verified exactly.
 """
 
 from __future__ import annotations
@@ -49,6 +50,7 @@ SHINGLE = 5
 HEAVY = 1 << 18                      # shingles in the list of frequent ones
 LOCAL = 3                            # different sets of one chunk that make a shingle a candidate for it
 CHUNK = 1 << 21                      # part values combined in a task before the shuffle; twice as many shingles counted
+ROUNDS = 2                           # further hubs tried in a group that one hub has not joined, before tiles
 TILE = 256
 SMALL_ROWS = 1 << 19                 # rows of three numbers that a join may broadcast, after counting them
 _LOW2 = np.uint64(3)
@@ -433,17 +435,36 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, groups: DataFrame, text: str
     state = members.join(checked, ["hub", "cls"], "left") \
         .select("key", "cls", F.coalesce("linked", F.lit(True)).alias("ball"), F.coalesce("far", F.lit(False)).alias("far"))
     within = state.where("NOT ball AND NOT far").select("key").distinct().withColumn("open", F.lit(True))
-    named = cut(info.select("cls", "n", "sketch").join(comp.withColumnRenamed("node", "cls"), "cls", "left")
-                .withColumn("comp", F.coalesce("comp", "cls")), "parity-named")
-    rest = cut(state.join(within, "key", "left").where("NOT ball OR open").select("key", "cls")
-               .join(named.select("cls", "comp"), "cls"), "parity-rest")
-    split = rest.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    pairs = _tile_pairs(rest.join(split, "key").select("key", "cls"), named, tile)
-    fresh = pairs.join(near.select("a", "b"), ["a", "b"], "left_anti")
-    sized = fresh.join(info.select(F.col("cls").alias("a"), F.col("n").alias("na")), "a") \
-        .join(info.select(F.col("cls").alias("b"), F.col("n").alias("nb")), "b")
-    more = verified(docs, info, sized, text, shingle).join(sized, ["a", "b"]).where(f"apart <= {_ALLOWED}").select("a", "b")
-    return components(links.union(more), "parity-all")
+    sizes = info.select("cls", "n", "sketch")
+    named = lambda c: cut(sizes.join(c.withColumnRenamed("node", "cls"), "cls", "left")
+                          .withColumn("comp", F.coalesce("comp", "cls")), "parity-named")
+    rest = cut(state.join(within, "key", "left").where("NOT ball OR open").select("key", "cls"), "parity-rest")
+    tried = near.select("a", "b")
+    for turn in range(ROUNDS + 1):
+        label = named(comp)
+        rows = cut(rest.join(label.select("cls", "comp"), "cls"), f"parity-open-{turn}")
+        split = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
+        rest = cut(rows.join(split, "key"), f"parity-split-{turn}")
+        if turn == ROUNDS or rest.limit(1).count() == 0:
+            break
+        pick = rest.groupBy("key").agg(F.max(F.struct(F.xxhash64("comp", F.lit(turn)), "comp", F.xxhash64("cls", F.lit(turn)), "cls")).alias("p")) \
+            .select("key", F.col("p.cls").alias("hub"), F.col("p.comp").alias("home"))
+        pairs = rest.join(pick, "key").where("comp <> home") \
+            .select(F.least("hub", "cls").alias("a"), F.greatest("hub", "cls").alias("b")).distinct() \
+            .join(tried, ["a", "b"], "left_anti")
+        close = cut(hamming(pairs, info).where(f"{_FITS} AND low <= {_ALLOWED}"), f"parity-close-{turn}")
+        links = links.union(_linked(docs, info, close, text, shingle))
+        comp = cut(components(links, f"parity-{turn}"), "parity-components")
+        tried = tried.union(close.select("a", "b"))
+        rest = rest.select("key", "cls")
+    fresh = _tile_pairs(rest.select("key", "cls"), label, tile).join(tried, ["a", "b"], "left_anti")
+    side = lambda c: sizes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"))
+    return components(links.union(_linked(docs, info, fresh.join(side("a"), "a").join(side("b"), "b"), text, shingle)), "parity-all")
+
+
+def _linked(docs: DataFrame, info: DataFrame, pairs: DataFrame, text: str, shingle: int) -> DataFrame:
+    """(a, b): the pairs (a, b, na, nb) that are links."""
+    return verified(docs, info, pairs, text, shingle).join(pairs, ["a", "b"]).where(f"apart <= {_ALLOWED}").select("a", "b")
 
 
 def jaccard_components(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
