@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import WHITE, cut, null_safe, prepare, row_key, text_blocks
+from tessera.llm.common import WHITE, cut, free_names, null_safe, prepare, row_key, text_blocks
 
 BLOCK = 4096
 _KEY = ["doc_id", "text_key"]
@@ -139,11 +139,11 @@ def exact_groups(df: DataFrame, id_col: str = "doc_id", text: str = "text", bloc
 
 def exact_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """``df`` with one row of every group of equal texts."""
+    doc, key = free_names(df, "__doc", "__key")
     kept = exact_groups(df, id_col, text, block).where("kept").select(*_KEY).distinct() \
-        .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
-    extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
-    return null_safe(df.withColumns(extra), kept, ["__doc", "__key"], "left_semi") \
-        .dropDuplicates(["__doc", "__key"]).drop("__doc", "__key")
+        .select(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+    extra = {doc: F.col(id_col), key: F.xxhash64(F.col(text))}
+    return null_safe(df.withColumns(extra), kept, [doc, key], "left_semi").dropDuplicates([doc, key]).drop(doc, key)
 
 
 ORACLE_SQL = r"""

@@ -62,6 +62,21 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return out if how in ("left_semi", "left_anti") else out.drop(*[f"__r_{k}" for k in keys])
 
 
+def columns_of(df: DataFrame, but: tuple = ()) -> list[Column]:
+    """The columns of ``df``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in but]
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores added as no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        out.append(n)
+    return out
+
+
 # ------------------------------------------------------------- Arrow and numpy
 def flat(arr: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary Arrow array; null counts as empty."""

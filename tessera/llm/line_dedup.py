@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, null_safe
+from tessera.llm.common import columns_of, cut, free_names, null_safe
 
 NO_ID = 2 ** 63 - 1
 
@@ -69,21 +69,30 @@ def line_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", window
     row repeated as a whole loses nothing to its own copy. Windows are judged
     on the input, not on what is left. Windows of blank lines only never count;
     texts of fewer than ``window`` lines are kept. A text may become empty, its
-    row stays. Other columns pass through unchanged."""
-    starts = covered_lines(df, id_col, text, window)
-    extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
-    found = starts.select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"), F.col("starts").alias("__s"))
-    j = null_safe(df.withColumns(extra), found, ["__doc", "__key"], "left")
-    lines = _lines(text)
-    gone = F.flatten(F.transform("__s", lambda p: F.sequence(p, p + (window - 1))))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    rebuilt = F.array_join(F.transform(F.col("__kept"), lambda i: F.get(lines, i)), "\n")
-    n_lines = F.when(F.col(text).isNull(), 0).otherwise(F.size(lines))
-    return j.withColumn("__kept", F.when(F.col("__s").isNotNull(), kept)) \
-        .withColumns({"__n_lines": n_lines.cast("long"),
-                      "__n_removed": F.when(F.col("__s").isNull(), 0).otherwise(n_lines - F.size("__kept")).cast("long")}) \
-        .withColumn(text, F.when(F.col("__s").isNull(), F.col(text)).otherwise(rebuilt)) \
-        .select(*df.columns, *[F.col(c).alias(c[2:]) for c in ("__n_lines", "__n_removed") if report])
+    row stays. Other columns pass through unchanged, whatever their names; with
+    ``report``, columns of the two names give way to the new ones.
+
+    The covered positions are merged and the slices of lines between them
+    joined, so the work is linear in the lines of a text."""
+    doc, key, at, cut_at, whole, pieces = free_names(df, "__doc", "__key", "__starts", "__at", "__lines", "__pieces")
+    found = covered_lines(df, id_col, text, window).select(
+        F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.sort_array("starts").alias(at))
+    extra = {doc: F.col(id_col), key: F.xxhash64(F.col(text))}
+    j = null_safe(df.withColumns(extra), found, [doc, key], "left").withColumn(whole, _lines(text))
+    n = F.size(F.col(whole))
+    # gap i lies between the end of window i - 1 and the start of window i
+    begin = F.concat(F.array(F.lit(0)), F.transform(at, lambda p: p + window))
+    end = F.concat(F.col(at), F.array(n))
+    gaps = F.arrays_zip(begin.alias("a"), end.alias("z"))
+    slices = F.transform(cut_at, lambda g: F.slice(F.col(whole), g["a"] + 1, g["z"] - g["a"]))
+    j = j.withColumn(cut_at, F.when(F.col(at).isNotNull(), F.filter(gaps, lambda g: g["z"] > g["a"]))) \
+        .withColumn(pieces, F.when(F.col(at).isNotNull(), F.flatten(slices)))
+    n_lines = F.when(F.col(text).isNull(), 0).otherwise(n)
+    rebuilt = F.when(F.col(at).isNull(), F.col(text)).otherwise(F.array_join(pieces, "\n"))
+    told = {"n_lines": n_lines.cast("long"),
+            "n_removed": F.when(F.col(at).isNull(), 0).otherwise(n - F.size(pieces)).cast("long")} if report else {}
+    same = [rebuilt.alias(c) if c == text else x for c, x in zip(df.columns, columns_of(df)) if c not in told]
+    return j.select(*same, *[v.alias(c) for c, v in told.items()])
 
 
 ORACLE_SQL = r"""

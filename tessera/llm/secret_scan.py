@@ -20,11 +20,12 @@ from __future__ import annotations
 import re
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import cut, null_safe, prepare, row_key, text_blocks
+from tessera.llm.common import columns_of, cut, free_names, null_safe, prepare, row_key, text_blocks
 
 SCOPE = 200
 # Fixed by the contract (letters of the keyword in either case).
@@ -157,20 +158,29 @@ def redact(df: DataFrame, id_col: str = "doc_id", text: str = "text", scope: int
     """``df`` with every secret span of ``text`` replaced by ``mark``; spans
     that touch or overlap become one mark. No row goes; other columns pass
     through. Only rows with spans carry any to the join."""
+    doc, key, starts, ends = free_names(df, "__doc", "__key", "__starts", "__ends")
     spans = secret_spans(df, id_col, text, scope).where(F.size("spans") > 0) \
-        .select("doc_id", "text_key", F.array_sort(F.transform("spans", lambda s: F.struct(s["start"], s["end"]))).alias("__s")) \
-        .dropDuplicates(["doc_id", "text_key"])
-    spans = spans.withColumnsRenamed({"doc_id": "__doc", "text_key": "__key"})
-    extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
-    j = null_safe(df.withColumns(extra), spans, ["__doc", "__key"], "left")
-    zero = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
-
-    def step(acc, s):
-        gap = F.substring(F.col(text), (acc["at"] + 1).cast("int"), F.greatest(s["start"] - acc["at"], F.lit(0)).cast("int"))
-        piece = F.when((acc["at"] > 0) & (s["start"] <= acc["at"]), F.lit("")).otherwise(F.concat(gap, F.lit(mark)))
-        return F.struct(F.concat(acc["out"], piece).alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))
-
-    named = F.transform("__s", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
-    body = F.aggregate(named, zero, step, lambda a: F.concat(
-        a["out"], F.substring(F.col(text), (a["at"] + 1).cast("int"), F.length(F.col(text)))))
-    return j.withColumn(text, F.when(F.col("__s").isNull(), F.col(text)).otherwise(body)).select(*df.columns)
+        .withColumn("s", F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))))) \
+        .select(F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.col("s.start").alias(starts), F.col("s.end").alias(ends)) \
+        .dropDuplicates([doc, key])
+    extra = {doc: F.col(id_col), key: F.xxhash64(F.col(text))}
+    j = null_safe(df.withColumns(extra), spans, [doc, key], "left")
+
+    @F.pandas_udf("string")
+    def masked(texts: pd.Series, first: pd.Series, last: pd.Series) -> pd.Series:
+        return pd.Series([None if a is None else mask_text(t, a, z, mark) for t, a, z in zip(texts, first, last)], dtype=object)
+
+    touched = F.when(F.col(starts).isNotNull(), F.col(text))            # other texts do not travel
+    body = F.coalesce(masked(touched, F.col(starts), F.col(ends)), F.col(text))
+    return j.select(*[body.alias(c) if c == text else x for c, x in zip(df.columns, columns_of(df))])
+
+
+def mask_text(text: str, starts, ends, mark: str) -> str:
+    """``text`` with the spans (sorted by start, then end) masked; spans that
+    touch or overlap give one mark. Linear in the text and the spans."""
+    out, at = [], 0
+    for a, z in zip(starts, ends):
+        if not out or a > at:
+            out += [text[at:a], mark]
+        at = max(at, z)
+    return "".join(out) + text[at:]

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (components, cut, flat, null_safe, prepare, row_key, text_blocks)
+from tessera.llm.common import components, cut, flat, free_names, null_safe, prepare, row_key, text_blocks
 
 TILE = 1024
 QUARTER = 16
@@ -205,9 +205,9 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text: str = "text", shingle:
     equal in doc_id and text, one stays. Unlinked texts under one doc_id are
     components of their own and each keep a row."""
     found = simhash_components(df, id_col, text, shingle, radius)
+    doc, key = free_names(df, "__doc", "__key")
     chosen = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))) \
         .groupBy("comp", "doc_id").agg(F.min("text_key").alias("text_key")) \
-        .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"))
-    extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
-    return null_safe(df.withColumns(extra), chosen, ["__doc", "__key"], "left_semi") \
-        .dropDuplicates(["__doc", "__key"]).drop("__doc", "__key")
+        .select(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
+    extra = {doc: F.col(id_col), key: F.xxhash64(F.col(text))}
+    return null_safe(df.withColumns(extra), chosen, [doc, key], "left_semi").dropDuplicates([doc, key]).drop(doc, key)

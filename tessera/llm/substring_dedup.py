@@ -41,8 +41,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (cut, mix64, null_safe, prepare, row_key, text_blocks, window_hashes, word_hashes,
-                                words_of)
+from tessera.llm.common import (columns_of, cut, free_names, mix64, null_safe, prepare, row_key, text_blocks,
+                                window_hashes, word_hashes, words_of)
 
 WINDOW = 13
 GRAM = 8                     # shorter grams repeat by chance, longer ones are sampled more densely
@@ -351,10 +351,11 @@ def substring_dedup(df: DataFrame, id_col: str = "doc_id", text: str = "text", w
     facts, changed = _kept_words(df, id_col, text, window, "sha binary, n_removed long, kept string",
                                  lambda kept: kept.decode("utf-8"))
     copy = (F.col("ord") > F.col("first_ord")) & (F.col("n_words") >= window)
+    doc, key, kept = free_names(df, "__doc", "__key", "__kept")
     new = facts.join(changed, "sha", "left") \
-        .select(F.col("doc_id").alias("__doc"), F.col("text_key").alias("__key"),
-                F.when(copy, F.lit("")).otherwise(F.col("kept")).alias("__kept")) \
-        .where("__kept IS NOT NULL").dropDuplicates(["__doc", "__key"])
-    extra = {"__doc": F.col(id_col), "__key": F.xxhash64(F.col(text))}
-    return null_safe(df.withColumns(extra), new, ["__doc", "__key"], "left") \
-        .withColumn(text, F.coalesce("__kept", text)).select(*df.columns)
+        .select(F.col("doc_id").alias(doc), F.col("text_key").alias(key), F.when(copy, F.lit("")).otherwise(F.col("kept")).alias(kept)) \
+        .where(F.col(kept).isNotNull()).dropDuplicates([doc, key])
+    extra = {doc: F.col(id_col), key: F.xxhash64(F.col(text))}
+    body = F.coalesce(F.col(kept), F.col(text))
+    return null_safe(df.withColumns(extra), new, [doc, key], "left") \
+        .select(*[body.alias(c) if c == text else x for c, x in zip(df.columns, columns_of(df))])

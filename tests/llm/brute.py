@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+from collections import Counter
 
 import xxhash
 
@@ -83,24 +84,36 @@ def fingerprint(t, shingle=3):
     return sum(1 << b for b in range(64) if 2 * ones[b] > len(runs))
 
 
-def simhash(rows, radius=3):
-    """[(doc_id, text)] -> [(doc_id, hex, component)]."""
-    fp = [fingerprint(t) for _, t in rows]
-    label = list(range(len(rows)))
+def _roots(fp, radius):
+    label = list(range(len(fp)))
 
     def root(x):
         while label[x] != x:
             x = label[x]
         return x
-    for a in range(len(rows)):
+    for a in range(len(fp)):
         for b in range(a):
             if bin(fp[a] ^ fp[b]).count("1") <= radius:
                 label[max(root(a), root(b))] = min(root(a), root(b))
-    least = {}
+    return [root(k) for k in range(len(fp))]
+
+
+def simhash(rows, radius=3):
+    """[(doc_id, text)] -> [(doc_id, hex, component)]."""
+    fp = [fingerprint(t) for _, t in rows]
+    root, least = _roots(fp, radius), {}
     for k, (i, _) in enumerate(rows):
         if i is not None:
-            least[root(k)] = min(least.get(root(k), i), i)
-    return [(i, f"{fp[k]:016x}", least.get(root(k))) for k, (i, _) in enumerate(rows)]
+            least[root[k]] = min(least.get(root[k], i), i)
+    return [(i, f"{fp[k]:016x}", least.get(root[k])) for k, (i, _) in enumerate(rows)]
+
+
+def one_per_component(rows, radius=3):
+    """How often each doc_id stays: once for each component that it names."""
+    groups = {}
+    for (i, _), r in zip(rows, _roots([fingerprint(t) for _, t in rows], radius)):
+        groups.setdefault(r, []).append(i)
+    return Counter(min((i for i in g if i is not None), default=None) for g in groups.values())
 
 
 def substrings(rows, window=13):
@@ -169,12 +182,19 @@ def weak_spans(t):
     return [w for w in s if not any(b[0] < w[3] and w[0] < b[3] for b in base)]
 
 
+def gap(p, w):
+    """Code points between two spans, None where they overlap."""
+    if p[3] <= w[0]:
+        return w[0] - p[3]
+    return p[0] - w[3] if w[3] <= p[0] else None
+
+
 def all_spans(t, scope=200):
-    """Every pair of parts is tried."""
+    """Every pair of parts is tried, by the gap between them."""
     base, weak = base_spans(t), weak_spans(t)
     role = {"access": "id", "assign": "secret", "hex": "secret", "weak_id": "id", "weak_key": "secret", "weak_endpoint": "endpoint"}
     need = {"weak_id": {"secret"}, "weak_key": {"id", "endpoint"}, "weak_endpoint": {"secret"}}
-    hit = [w for w in weak if any(role[p[2]] in need[w[2]] and abs(p[0] - w[0]) <= scope for p in base + weak)]
+    hit = [w for w in weak if any(role[p[2]] in need[w[2]] and (g := gap(p, w)) is not None and g <= scope for p in base + weak)]
     return sorted(base + hit)
 
 
