@@ -11,14 +11,18 @@ from __future__ import annotations
 from multiprocessing.pool import ThreadPool
 
 import numpy as np
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.functions.columns import long_table
+from tessera.functions.hashing import row_hash
+from tessera.session import ship_package
 
 
 # ---------------------------------------------------------------------- C-00
@@ -163,6 +167,58 @@ def silhouette(labelled: DataFrame, cluster: str = "cluster") -> float:
     return float(ev.evaluate(labelled))
 
 
+SAMPLE_POINTS = 2000
+
+
+def euclidean_silhouette(df: DataFrame, cols, cluster: str, id_col: str, points: int = SAMPLE_POINTS,
+                         seed: int = 42) -> DataFrame:
+    """C-04: (id, cluster, a, b, silhouette) with plain Euclidean distance for
+    the first ``points`` rows in hash order (all of them in a smaller table),
+    each measured against **all** rows.
+
+    The sampled points travel to the tasks (``points`` x features numbers);
+    every task adds up the distances of its rows to them per cluster in numpy
+    blocks, and the sums are merged by a partial aggregate. a: mean distance to
+    the other rows of the own cluster; b: least mean distance to another
+    cluster; the value is (b - a) / max(a, b), 0 for a point alone in its
+    cluster or where both are 0, null with one cluster. Rows with a missing
+    feature or cluster take no part."""
+    full = df.dropna(subset=[*cols, cluster]).select(F.col(id_col).alias("id"), F.col(cluster).cast("string").alias("c"),
+                                                     F.array(*[F.col(x).cast("double") for x in cols]).alias("v"))
+    chosen = full.orderBy(row_hash("id", seed), "id").limit(points).collect()
+    kind = full.schema["id"].dataType
+    if not chosen:
+        return df.sparkSession.createDataFrame([], T.StructType([
+            T.StructField("id", kind), T.StructField("cluster", T.StringType()),
+            *[T.StructField(x, T.DoubleType()) for x in ("a", "b", "silhouette")]]))
+    grid = np.array([r["v"] for r in chosen])
+
+    def sums(batches):
+        for rb in batches:
+            c = np.array(rb.column(0).to_pylist(), object)
+            x = rb.column(1).values.to_numpy(zero_copy_only=False).reshape(-1, grid.shape[1])
+            for name in set(c):
+                total = np.zeros(len(grid))
+                part = x[c == name]
+                for lo in range(0, len(part), 256):
+                    total += np.sqrt(((part[lo:lo + 256, None, :] - grid[None]) ** 2).sum(2)).sum(0)
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(grid))), pa.array([name] * len(grid)), pa.array(total),
+                                                  pa.array(np.full(len(grid), len(part)))], ["point", "other", "d", "n"])
+
+    ship_package(df.sparkSession)
+    per = full.select("c", "v").mapInArrow(sums, "point long, other string, d double, n long") \
+        .groupBy("point", "other").agg(F.sum("d").alias("d"), F.sum("n").alias("n"))
+    own = df.sparkSession.createDataFrame([(i, r["id"], r["c"]) for i, r in enumerate(chosen)], T.StructType([
+        T.StructField("point", T.LongType()), T.StructField("id", kind), T.StructField("cluster", T.StringType())]))
+    mine = F.col("other") == F.col("cluster")
+    near = per.join(own, "point").groupBy("point", "id", "cluster").agg(
+        F.max(F.when(mine, F.col("d") / F.nullif(F.col("n") - 1, F.lit(0)))).alias("a"),
+        F.min(F.when(~mine, F.col("d") / F.col("n"))).alias("b"), F.count(F.lit(1)).alias("k"))
+    value = F.when(F.col("k") < 2, F.lit(None)).when(F.col("a").isNull() | (F.greatest("a", "b") == 0), F.lit(0.0)) \
+        .otherwise((F.col("b") - F.col("a")) / F.greatest("a", "b"))
+    return near.select("id", "cluster", "a", "b", value.alias("silhouette"))
+
+
 def k_sweep(df: DataFrame, cols, ks, n_init: int = 10, seed: int = 42) -> DataFrame:
     """C-04: inertia and silhouette for each k."""
     rows = []

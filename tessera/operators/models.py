@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import math
 import random
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
@@ -25,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.columns import nan_to_null
 from tessera.operators.text import tokens
+from tessera.session import written
 
 
 # ------------------------------------------------------- nearest centroid
@@ -154,6 +157,39 @@ def cross_validate(df: DataFrame, cols, make_estimators, y: str = "y", id_col: s
     return table
 
 
+def cross_validate_text(df: DataFrame, id_col: str, text: str, label: str, k: int = 5, seed: int = 42,
+                        vocab_size: int = 5000, C: float = 5.0, at_once: int = 3, vocabularies: dict | None = None) -> DataFrame:
+    """V-05 for the text classifier: (fold, n_train, n_test, vocabulary,
+    accuracy, balanced_accuracy, f1_macro, f1_weighted), stratified folds.
+
+    Vocabulary, IDF, class weights and the classifier are fitted again inside
+    every fold on its training rows, so nothing of a held-out fold reaches its
+    model; a class that a fold never trains on counts as a miss there. Folds are
+    independent and run ``at_once`` at a time. Rows without text or label take
+    no part. ``vocabularies`` (if given) receives each fold's term list."""
+    from tessera.operators.evaluate import classification_metrics
+    from tessera.operators.splits import kfold
+    from tessera.operators.text import encode, label_encoder
+    full = df.dropna(subset=[text, label]).select(id_col, text, label)
+    enc = encode(full, label, label_encoder(full, label))
+    folded = written(kfold(enc, id_col, k, seed, label=label), "v05-text-folds")
+
+    def one(f):
+        tr, te = folded.filter(F.col("fold") != f), folded.filter(F.col("fold") == f)
+        cv, model = fit_text_classifier(tr, text, "label_idx", vocab_size, C=C)
+        if vocabularies is not None:
+            vocabularies[f] = list(cv.vocabulary)
+        p = predict_text(cv, model, te, text).select(F.col("label_idx").cast("int").alias("truth"),
+                                                     F.col("prediction").cast("int").alias("pred"))
+        m = classification_metrics(p).first()
+        return (f, tr.count(), m["n"], len(cv.vocabulary), m["accuracy"], m["balanced_accuracy"], m["f1_macro"], m["f1_weighted"])
+
+    with ThreadPool(at_once) as pool:
+        rows = pool.map(inheritable_thread_target(df.sparkSession)(one), range(k))
+    return df.sparkSession.createDataFrame(rows, "fold int, n_train long, n_test long, vocabulary int, accuracy double, "
+                                                 "balanced_accuracy double, f1_macro double, f1_weighted double")
+
+
 def ridge_cv(df: DataFrame, cols, alphas, y: str = "y", id_col: str = "id", k: int = 5, seed: int = 42) -> list[tuple]:
     """V-05 for any number of ridge penalties in two passes over the rows.
 

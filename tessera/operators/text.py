@@ -256,6 +256,89 @@ def near_duplicates(train: DataFrame, test: DataFrame, id_col: str, text: str, t
     return per_text, summary
 
 
+def _best_of(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("test_doc").agg(F.max("cosine").alias("b"))
+
+
+def largest_similarity(test_r: DataFrame, train_r: DataFrame, caps=(16, 256)) -> DataFrame:
+    """(doc, max_cosine): the largest cosine of every test document to any train
+    document, exactly and without a threshold, for tables of
+    :func:`ranked_weights`. Documents that share no term are absent.
+
+    A test document's terms run from rare to frequent; ``tail`` bounds what its
+    terms from one on can add to any cosine: the sum of weight times the term's
+    largest train weight, or the norm of those terms if that is less. Each
+    document carries the best cosine found so far, and only terms whose tail
+    reaches it can lead to a better partner.
+
+    The first best comes from one partner per document, the next from the
+    partner that shares most weight over terms of at most ``caps`` train
+    documents (cheap lists). The last pass joins all terms that still count:
+    their partial products are complete up to the document's last such term, a
+    pair survives if they and the remaining tail reach the best, and survivors
+    alone are finished. So lists of frequent terms are read only for documents
+    without a close partner, and a pair is never scored to the end twice."""
+    top = train_r.groupBy("term").agg(F.max("w").alias("top"), F.count(F.lit(1)).alias("held"))
+    ahead = Window.partitionBy("doc").orderBy("df", "term").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    te = written(test_r.join(top, "term").withColumn("tail", F.least(F.sum(F.col("w") * F.col("top")).over(ahead), F.col("rest")))
+                 .select("doc", "term", "w", "df", "rest", "tail", "held"), "x06-bounds")
+    named = train_r.groupBy("term").agg(F.min("doc").alias("train_doc"))
+    first = te.select(F.col("doc").alias("test_doc"), "term", "w").join(named, "term") \
+        .groupBy("test_doc", "train_doc").agg(F.sum(F.col("w") ** 2).alias("s"))
+
+    def finish(scored: DataFrame) -> DataFrame:
+        """Best cosine with the partner of the largest ``s``."""
+        pick = scored.groupBy("test_doc").agg(F.max_by("train_doc", F.struct("s", -F.col("train_doc"))).alias("train_doc"))
+        whole = pick.select("test_doc", "train_doc", F.lit(0.0).alias("acc"), F.lit(-1).cast("long").alias("m_df"),
+                            F.lit(-1).cast("long").alias("m_term"))
+        return _best_of(_finished(whole, te, train_r, 0.0))
+
+    best = written(finish(first), "x06-best")
+    train = train_r.select(F.col("doc").alias("train_doc"), "term", F.col("w").alias("wr"))
+
+    def open_terms() -> DataFrame:
+        return te.join(best.withColumnRenamed("test_doc", "doc"), "doc", "left") \
+            .withColumn("b", F.coalesce("b", F.lit(0.0)))
+
+    for cap in caps:
+        live = open_terms().filter((F.col("tail") >= F.col("b")) & (F.col("held") <= cap))
+        shared = live.select(F.col("doc").alias("test_doc"), "term", "w").join(train, "term") \
+            .groupBy("test_doc", "train_doc").agg(F.sum(F.col("w") * F.col("wr")).alias("s"))
+        best = written(_best_of(best.withColumnRenamed("b", "cosine").unionByName(
+            finish(shared).withColumnRenamed("b", "cosine"))), "x06-best")
+    state = open_terms()
+    live = state.filter(F.col("tail") >= F.col("b") - EPS)
+    edge = state.groupBy(F.col("doc").alias("test_doc")).agg(
+        F.max("b").alias("b"), F.coalesce(F.max(F.when(F.col("tail") < F.col("b") - EPS, F.col("tail"))), F.lit(0.0)).alias("left"),
+        F.max(F.when(F.col("tail") >= F.col("b") - EPS, F.struct("df", "term"))).alias("m"))
+    pairs = live.select(F.col("doc").alias("test_doc"), "term", "w").join(train, "term") \
+        .groupBy("test_doc", "train_doc").agg(F.sum(F.col("w") * F.col("wr")).alias("acc")) \
+        .join(edge, "test_doc").filter(F.col("acc") + F.col("left") >= F.col("b") - EPS) \
+        .select("test_doc", "train_doc", "acc", F.col("m.df").alias("m_df"), F.col("m.term").alias("m_term"))
+    every = best.withColumnRenamed("b", "cosine").unionByName(_finished(pairs, te, train_r, 0.0).select("test_doc", "cosine"))
+    return _best_of(every).select(F.col("test_doc").alias("doc"), F.col("b").alias("max_cosine"))
+
+
+def similarity_report(train: DataFrame, test: DataFrame, id_col: str, text: str,
+                      threshold: float = 0.9) -> tuple[DataFrame, DataFrame]:
+    """X-06 with the largest similarity of every test text (0 where it shares no
+    term with a train text), and the summary (n_test, n_near_duplicate, pct,
+    mean_similarity), copies of a test text counted each."""
+    tr_u = train.groupBy(text).agg(F.min(id_col).alias(id_col))
+    te_u = written(test.groupBy(text).agg(F.min(id_col).alias(id_col), F.count(F.lit(1)).alias("copies")), "x06-test-texts")
+    tr_post = written(postings(tr_u, id_col, text), "x06-train-terms")
+    vocab = numbered(fit_vocabulary(tr_post, n_docs=tr_u.count()), "x06-vocabulary")
+    tr_r = written(ranked_weights(tr_post, vocab), "x06-train")
+    te_r = written(ranked_weights(postings(te_u, id_col, text), vocab), "x06-test")
+    best = largest_similarity(te_r, tr_r).withColumnRenamed("doc", id_col)
+    per_text = written(te_u.select(id_col, "copies").join(best, id_col, "left")
+                       .withColumn("max_cosine", F.coalesce("max_cosine", F.lit(0.0))), "x06-largest")
+    near = F.sum(F.when(F.col("max_cosine") >= threshold - EPS, F.col("copies")).otherwise(0))
+    n = F.sum("copies")
+    return per_text, per_text.agg(n.alias("n_test"), near.alias("n_near_duplicate"), (near * 100.0 / n).alias("pct"),
+                                  (F.sum(F.col("copies") * F.col("max_cosine")) / n).alias("mean_similarity"))
+
+
 # ---------------------------------------------------------------------- X-07
 def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
     """X-07: (node, component = smallest node id reachable).

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tessera.functions.hashing import row_hash_sql
 from tessera.operators import cluster as C
 from tessera.operators.describe import biplot_loadings
 from tessera.plans.bindings import CUSTOMER_PROFILE_SQL, PROFILE_NUMERIC, customer_profile, with_sql
@@ -70,6 +71,26 @@ def c04_k_sweep(spark, d):
     return C.k_sweep(scaled, NUM, range(2, 9))
 
 
+_POINTS = C.SAMPLE_POINTS
+_SIL_SQL = CP + ",\nx AS (SELECT customer_id, plan, " + ", ".join(
+    f"({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () AS {c}" for c in NUM) + f""" FROM customer_profile),
+p AS (SELECT * FROM x WHERE plan IS NOT NULL ORDER BY {row_hash_sql('customer_id', 42)}, customer_id LIMIT {_POINTS}),
+d AS (SELECT p.customer_id, p.plan, x.plan AS other, sum(sqrt({" + ".join(f"(p.{c} - x.{c}) * (p.{c} - x.{c})" for c in NUM)})) AS d,
+             count(*) AS n FROM p, x WHERE x.plan IS NOT NULL GROUP BY ALL),
+ab AS (SELECT customer_id, plan, max(CASE WHEN plan = other THEN d / nullif(n - 1, 0) END) AS a,
+              min(CASE WHEN plan <> other THEN d / n END) AS b FROM d GROUP BY ALL)
+SELECT plan, count(*) AS n, avg(CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END) AS silhouette
+FROM ab GROUP BY plan"""
+
+
+@query("c04_euclidean_silhouette", _SIL_SQL, doubles=["silhouette"])
+def c04_euclidean_silhouette(spark, d):
+    """Mean Euclidean silhouette of the plans over the scaled profile."""
+    scaled, _ = _scaled(spark, d)
+    s = C.euclidean_silhouette(scaled, NUM, "plan", "customer_id")
+    return s.groupBy(F.col("cluster").alias("plan")).agg(F.count(F.lit(1)).alias("n"), F.avg("silhouette").alias("silhouette"))
+
+
 # C-05 -----------------------------------------------------------------------
 _ARI_SQL = CP + """,
 cells AS (SELECT plan, region, count(*) AS nij FROM customer_profile GROUP BY ALL),

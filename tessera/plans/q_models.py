@@ -208,6 +208,12 @@ def m01_text_classifier_metrics(spark, d):
     return E.classification_metrics(p)
 
 
+@query("v05_text_cross_validation")
+def v05_text_cross_validation(spark, d):
+    """Five stratified folds of the text classifier, refitted whole in each."""
+    return M.cross_validate_text(table(spark, d, "documents"), "doc_id", "text", "lang", k=5)
+
+
 @query("e13_error_listing")
 def e13_error_listing(spark, d):
     """Test documents whose toxicity mark the text model gets wrong, and their share."""
