@@ -128,7 +128,7 @@ class Sets:
         return out.view(np.int64)
 
     def sketches(self) -> list[bytes]:
-        """The parity sketch of each document folded to one or two bits a shingle."""
+        """The parity sketch of each document folded to two to four bits a shingle."""
         bits = sketch_bits(self.size)
         off = np.concatenate([[0], np.cumsum(bits)])
         pos = off[self.doc] + (self.mixed & (bits[self.doc] - 1).astype(np.uint64)).astype(np.int64)
@@ -184,7 +184,7 @@ def _band(size: np.ndarray) -> np.ndarray:
 
 
 def sketch_bits(size: np.ndarray) -> np.ndarray:
-    return np.maximum(64, 2 << _band(np.asarray(size)))
+    return np.maximum(64, 4 << _band(np.asarray(size)))
 
 
 def fold(sketch: np.ndarray, width: int) -> np.ndarray:
@@ -378,7 +378,7 @@ def verified(docs: DataFrame, info: DataFrame, pairs: DataFrame, text: str, shin
 
 
 def _tile_pairs(rows: DataFrame, info: DataFrame, tile: int) -> DataFrame:
-    """(a, b): pairs of different components inside a key whose sketches are
+    """(a, b, na, nb): pairs of different components inside a key whose sketches are
     near enough; ``rows`` holds (key, cls), ``info`` comp, n and sketch of a
     class. Pieces with equal members (one passage, many keys) are compared
     once, and sketches travel once per different piece."""
@@ -409,10 +409,14 @@ def _tile_pairs(rows: DataFrame, info: DataFrame, tile: int) -> DataFrame:
                     near = np.bitwise_count(fold(np.frombuffer(sa[k], np.uint8), width) ^ right).sum(1, dtype=np.int64) <= allowed(na[k], nb)
                     hit = np.flatnonzero(near & (pb != pa_[k]))
                     if len(hit):
-                        a = np.full(len(hit), ca[k])
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, cb[hit])), pa.array(np.maximum(a, cb[hit]))], ["a", "b"])
-
-    found = body.select("rows").mapInArrow(run, "a long, b long").union(cross.mapInArrow(run, "a long, b long"))
+                        swap = cb[hit] < ca[k]
+                        a, n = np.full(len(hit), ca[k]), np.full(len(hit), na[k])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(np.where(swap, cb[hit], a)), pa.array(np.where(swap, a, cb[hit])),
+                             pa.array(np.where(swap, nb[hit], n)), pa.array(np.where(swap, n, nb[hit]))], ["a", "b", "na", "nb"])
+
+    kind = "a long, b long, na long, nb long"
+    found = body.select("rows").mapInArrow(run, kind).union(cross.mapInArrow(run, kind))
     return cut(found.distinct(), "parity-pairs")
 
 
@@ -458,8 +462,7 @@ def jaccard_links(docs: DataFrame, rows: DataFrame, groups: DataFrame, text: str
         tried = tried.union(close.select("a", "b"))
         rest = rest.select("key", "cls")
     fresh = _tile_pairs(rest.select("key", "cls"), label, tile).join(tried, ["a", "b"], "left_anti")
-    side = lambda c: sizes.select(F.col("cls").alias(c), F.col("n").alias(f"n{c}"))
-    return components(links.union(_linked(docs, info, fresh.join(side("a"), "a").join(side("b"), "b"), text, shingle)), "parity-all")
+    return components(links.union(_linked(docs, info, fresh, text, shingle)), "parity-all")
 
 
 def _linked(docs: DataFrame, info: DataFrame, pairs: DataFrame, text: str, shingle: int) -> DataFrame:
