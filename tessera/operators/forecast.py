@@ -268,3 +268,85 @@ def direct_ml_forecast(df: DataFrame, feature_cols, n_test: int = 40, horizons=(
         F.col(series).alias("__s"), F.col("pos").alias("__p"), F.col(ts).alias("target_date"))
     return (out.join(dates, (F.col(series) == F.col("__s")) & (F.col("__p") == F.col("pos") + F.col("horizon")))
             .select(series, "origin_date", "target_date", "horizon", "model", "y_true", "y_pred"))
+
+
+def horizon_families(trees: int = 400, rounds: int = 300, step: float = 0.03, seed: int = 42) -> dict:
+    """Candidate families of the per-horizon choice: name -> function of (target,
+    rows, std of the target) that gives the estimator. Default sizes are those
+    of the study."""
+    from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+    from tessera.operators.models import ridge
+    common = lambda y: dict(featuresCol="features", labelCol=y, predictionCol="y_pred", seed=seed)
+    return {
+        "ridge": lambda y, n, sd: ridge("features", y, 5.0, n, sd),
+        "random_forest": lambda y, n, sd: RandomForestRegressor(
+            numTrees=trees, maxDepth=6, minInstancesPerNode=3, featureSubsetStrategy="all", **common(y)),
+        "gradient_boosting": lambda y, n, sd: GBTRegressor(maxIter=rounds, maxDepth=3, stepSize=step, **common(y)),
+    }
+
+
+def choose_per_horizon(df: DataFrame, feature_cols, n_test: int = 40, n_val: int = 40, horizons=(1, 2, 3),
+                       families: dict | None = None, at_once: int = 6, series: str = "series_id", ts: str = "ds",
+                       value: str = "close") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """R-12 with the family chosen per horizon, nested and in time order.
+
+    A training row's target lies before the hold-out (``n_test`` last points of
+    its series). The last ``n_val`` training rows of each series are the inner
+    hold-out: every family is fitted on the rows whose targets lie before its
+    first row and scored there. The family of the smallest MAPE (ties: name) is
+    fitted again on all training rows and predicts every walk-forward origin.
+
+    Returns (scores, chosen, predictions): scores (horizon, family, mae, rmse,
+    mape, n_obs) on the inner hold-out, chosen (horizon, family), predictions
+    in the long table of the walk-forward evaluation (model ``ml_<family>``).
+    Features are computed once and written (in files of the advisory size, so
+    that many small fits are not many small tasks); the fits, families x horizons, are
+    independent and run ``at_once`` at a time over all series together. Rows
+    without a full feature window take no part; a series shorter than
+    ``n_test`` has no training row and no origin."""
+    from multiprocessing.pool import ThreadPool
+    from pyspark import inheritable_thread_target
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.sql import Window
+    from tessera.operators.evaluate import regression_metrics
+    from tessera.operators.timeseries import build_features, with_position
+    from tessera.session import written
+    spark, feature_cols, last = df.sparkSession, list(feature_cols), max(horizons)
+    families = families or horizon_families()
+    w = Window.partitionBy(series).orderBy(ts)
+    ahead = {f"{kind}_h{h}": F.lead(c, h).over(w) for h in horizons for kind, c in (("target", value), ("date", ts))}
+    wide = with_position(build_features(df, series, ts, value).withColumns(ahead), series, ts) \
+        .withColumn("__first", F.count(F.lit(1)).over(Window.partitionBy(series)) - n_test)       # first hold-out position
+    asm = VectorAssembler(inputCols=feature_cols, outputCol="features")
+    feat = written(asm.transform(wide.dropna(subset=feature_cols)).select(
+        series, ts, "pos", "__first", "features", *ahead).hint("rebalance"), "horizon-features")
+    train = lambda h: feat.filter(F.col("pos") + h < F.col("__first"))
+    # the inner hold-out is the last n_val training rows; nothing before it may look into it
+    inner_from = lambda h: F.col("__first") - h - n_val
+
+    def fit(h, family, rows):
+        n, sd = rows.agg(F.count(F.lit(1)), F.stddev_pop(f"target_h{h}")).first()
+        return families[family](f"target_h{h}", n, sd).fit(rows)
+
+    def score(task):
+        h, family = task
+        rows = train(h)
+        model = fit(h, family, rows.filter(F.col("pos") + h < inner_from(h)))
+        p = model.transform(rows.filter(F.col("pos") >= inner_from(h)))
+        m = regression_metrics(p.select(F.col(f"target_h{h}").alias("y_true"), "y_pred")).first()
+        return h, family, float(m["mae"]), float(m["rmse"]), float(m["mape"]), int(m["n_obs"])
+
+    in_session = lambda f: inheritable_thread_target(spark)(f)
+    with ThreadPool(at_once) as pool:
+        scores = pool.map(in_session(score), [(h, f) for h in horizons for f in families], chunksize=1)
+        chosen = {h: min((r[4], r[1]) for r in scores if r[0] == h)[1] for h in horizons}
+        final = dict(zip(horizons, pool.map(in_session(lambda h: fit(h, chosen[h], train(h))), horizons, chunksize=1)))
+    origins = feat.filter((F.col("pos") >= F.col("__first") - 1) & (F.col("pos") + last < F.col("__first") + n_test))
+    out = None
+    for h in horizons:
+        p = final[h].transform(origins).select(
+            series, F.col(ts).alias("origin_date"), F.col(f"date_h{h}").alias("target_date"), F.lit(h).alias("horizon"),
+            F.lit(f"ml_{chosen[h]}").alias("model"), F.col(f"target_h{h}").alias("y_true"), "y_pred")
+        out = p if out is None else out.unionByName(p)
+    return (spark.createDataFrame(scores, "horizon int, family string, mae double, rmse double, mape double, n_obs long"),
+            spark.createDataFrame(sorted(chosen.items()), "horizon int, family string"), out)

@@ -16,7 +16,7 @@ from multiprocessing.pool import ThreadPool
 import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
@@ -393,3 +393,43 @@ def embedding_forest(train: DataFrame, vec_col: str, label: str, seed: int = 42,
     return RandomForestClassifier(featuresCol="features", labelCol=label, numTrees=trees, maxDepth=8,
                                   seed=seed).fit(data)
 
+
+
+def fit_bins(train: DataFrame, vec_col: str, bins: int = 32) -> list[list[float]]:
+    """Up to ``bins`` − 1 ascending distinct quantile cuts of every dimension of
+    an array column: one aggregate per dimension, so the fit is model-sized."""
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)])
+    rows = train.select(F.posexplode(vec_col).alias("dim", "x")).groupBy("dim") \
+        .agg(F.array_sort(F.array_distinct(F.percentile_approx(F.col("x").cast("double"), probs, 100 * bins))).alias("cuts")).collect()
+    cuts = {r["dim"]: r["cuts"] for r in rows}
+    return [cuts[i] for i in range(len(cuts))]
+
+
+def binned(df: DataFrame, vec_col: str, cuts: list, out: str = "features") -> DataFrame:
+    """``df`` with the bin numbers of ``vec_col`` as an ML vector: how many of a
+    dimension's cuts lie below the value (a null or NaN value: bin 0)."""
+    grid = F.array(*[F.array(*[F.lit(float(c)) for c in dim]) for dim in cuts])
+    place = F.zip_with(F.col(vec_col), grid, lambda x, c: F.size(F.filter(
+        c, lambda edge: edge < F.nanvl(x.cast("double"), F.lit(None).cast("double")))).cast("double"))
+    return df.withColumn(out, array_to_vector(place))
+
+
+def forest_classifier(train: DataFrame, label: str, features: str = "features", trees: int = 300, depth: int = 15,
+                      seed: int = 42):
+    """M-02, forest family at the study's size. Spark bounds the depth: trees
+    stop at ``depth`` levels instead of growing until pure."""
+    return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=trees, maxDepth=depth, seed=seed).fit(train)
+
+
+def boosted_classifier(train: DataFrame, label: str, features: str = "features", rounds: int = 100, depth: int = 5,
+                       step: float = 0.1, bins: int = 32, at_once: int = 8, seed: int = 42):
+    """M-02, boosting family: one boosted ensemble per class against the rest,
+    ``at_once`` classes side by side on the one feature table; the class with
+    the largest margin wins. ``label`` holds 0 … k − 1 (X-02).
+
+    Features that went through :func:`binned` have at most ``bins`` values, so
+    every class fit cuts at the same places."""
+    from tessera.session import checkpoint_dir
+    checkpoint_dir(train.sparkSession)       # long ensembles cut their lineage there
+    base = GBTClassifier(maxIter=rounds, maxDepth=depth, stepSize=step, maxBins=bins, seed=seed)
+    return OneVsRest(classifier=base, featuresCol=features, labelCol=label, parallelism=at_once).fit(train)

@@ -25,6 +25,7 @@ from tessera.operators.splits import stratified_split
 from tessera.plans.bindings import (REGRESSION_FEATURES, REGRESSION_ROWS_SQL, daily_series,
                                     regression_rows, with_sql)
 from tessera.plans.registry import query
+from tessera.session import written
 from tessera.sources.tables import table
 
 FEATS = list(REGRESSION_FEATURES)
@@ -246,6 +247,24 @@ def m02_forest_embeddings(spark, d):
     return E.classification_metrics(p)
 
 
+@query("m02_boosted_embeddings")
+def m02_boosted_embeddings(spark, d):
+    """Boosted trees, one ensemble per class, on the binned embeddings: the same
+    split and metrics as the forest, with the forest's macro F1 beside them (20
+    rounds, 30 trees of depth 8; README has the time of larger fits)."""
+    emb = table(spark, d, "embeddings").dropna(subset=["embedding", "label"])
+    mapping = X.label_encoder(emb, "label")
+    sp = stratified_split(emb, "vec_id", "label", 0.2, 42)
+    data = X.encode(emb.join(sp.select("vec_id", "split"), on="vec_id"), "label", mapping)
+    cuts = M.fit_bins(data.filter("split = 'train'"), "embedding")
+    feats = written(M.binned(data, "embedding", cuts).select("label_idx", "split", "features").hint("rebalance"), "m02-binned")
+    train, test = feats.filter("split = 'train'"), feats.filter("split = 'test'")
+    truth = F.col("label_idx").cast("int").alias("truth")
+    score = lambda model: E.classification_metrics(model.transform(test).select(truth, F.col("prediction").cast("int").alias("pred")))
+    forest = score(M.forest_classifier(train, "label_idx", trees=30, depth=8)).first()["f1_macro"]
+    return score(M.boosted_classifier(train, "label_idx", rounds=20)).withColumn("forest_f1_macro", F.lit(float(forest)))
+
+
 # C-02 / X-08 / E-20 ---------------------------------------------------------
 @query("c02_x08_pca_embeddings")
 def c02_x08_pca_embeddings(spark, d):
@@ -373,6 +392,40 @@ def r12_r13_direct_ml_forecasts(spark, d):
     return E.regression_metrics(a.unionByName(b), by=["model", "horizon"])
 
 
+@query("r12_choice_per_horizon")
+def r12_choice_per_horizon(spark, d):
+    """Ridge, forest or boosting by the inner hold-out's MAPE in each horizon,
+    fitted again on all training rows: walk-forward metrics per horizon beside
+    the hold-out MAPE of every family (100 trees, 50 rounds; README has the
+    study's sizes)."""
+    s = daily_series(spark, d)
+    families = FC.horizon_families(trees=100, rounds=50, step=0.18)
+    scores, chosen, preds = FC.choose_per_horizon(s, T.feature_columns(), N_TEST, families=families)
+    table_ = E.regression_metrics(preds, by=["model", "horizon"])
+    inner = scores.groupBy("horizon").pivot("family", list(families)).agg(F.first("mape")) \
+        .select("horizon", *[F.col(f).alias(f"holdout_mape_{f}") for f in families])
+    return table_.join(chosen, "horizon").join(inner, "horizon")
+
+
+@query("r13_filtered_features")
+def r13_filtered_features(spark, d):
+    """Ridge (penalty 5) on all 19 features and on the P-11-filtered list: both
+    halves, the inner hold-out and the walk-forward, per horizon."""
+    s = daily_series(spark, d)
+    full = T.feature_columns()
+    feats = T.direct_targets(T.build_features(s)).dropna(subset=full + ["target_h1"])
+    kept = [r["feature"] for r in S.greedy_decorrelate(feats, full, "target_h1", 0.9).collect() if r["kept"]]
+    ridge = {"ridge": FC.horizon_families()["ridge"]}
+    out = None
+    for name, cols in (("full", full), ("filtered", kept)):
+        scores, _, preds = FC.choose_per_horizon(s, cols, N_TEST, families=ridge)
+        walk = E.regression_metrics(preds, by="horizon").select("horizon", "mae", "rmse", "mape", "n_obs")
+        both = scores.select(F.lit("holdout").alias("half"), *walk.columns).unionByName(walk.select(F.lit("walk_forward").alias("half"), *walk.columns)) \
+            .select(F.lit(name).alias("features"), F.lit(len(cols)).alias("n_features"), "*")
+        out = both if out is None else out.unionByName(both)
+    return out
+
+
 @query("p15_adf")
 def p15_adf(spark, d):
     """ADF on the level and on the first difference of every series."""

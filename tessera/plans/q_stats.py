@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import distributions as dist
+from tessera.functions.normal import norm_ppf, ppf_sql
 from tessera.operators import describe as D
 from tessera.operators import stats as S
 from tessera.plans.bindings import (CUSTOMER_PROFILE_SQL, PROFILE_NUMERIC, REGRESSION_FEATURES,
@@ -241,3 +242,53 @@ def d07_qq_points(spark, d):
     return r.select("y", "n_ties", p.alias("p"),
                     dist.norm_ppf_udf(p).alias("theoretical"),
                     ((F.col("y") - mu) / sd).alias("sample"))
+
+
+@query("d07_qq_residuals", RR + """,
+f AS (SELECT regr_slope(y, quantity) AS b, regr_intercept(y, quantity) AS a FROM regression_rows),
+e AS (SELECT round(y - (a + b * quantity), 6) AS resid FROM regression_rows, f WHERE y IS NOT NULL AND quantity IS NOT NULL),
+m AS (SELECT count(*) AS n, avg(resid) AS mu, stddev_samp(resid) AS sd FROM e),
+t AS (SELECT resid, count(*) AS n_ties FROM e GROUP BY resid),
+r AS (SELECT resid, n_ties, (sum(n_ties) OVER (ORDER BY resid) - n_ties + (n_ties + 1) / 2.0::DOUBLE - 0.5::DOUBLE) / n AS p,
+        (resid - mu) / sd AS sample FROM t, m)
+SELECT round(sample, 4) + 0.0 AS sample, round(p, 6) AS p, round(""" + ppf_sql("p") + """, 4) + 0.0 AS theoretical, CAST(n_ties AS BIGINT) AS n_ties FROM r""")
+def d07_qq_residuals(spark, d):
+    """Standardised residuals of the line of y on quantity against normal
+    quantiles at (rank - 0.5) / n, a row per distinct residual; all in the JVM."""
+    from tessera.functions.ranks import value_ranks
+    rr = regression_rows(spark, d).dropna(subset=["y", "quantity"])
+    line = D.fitted_line(rr, "quantity", "y").first()
+    e = rr.select(F.round(F.col("y") - (F.lit(line["intercept"]) + F.lit(line["slope"]) * F.col("quantity")), 6).alias("resid"))
+    n, mu, sd = e.agg(F.count("resid"), F.avg("resid"), F.stddev_samp("resid")).first()
+    r = value_ranks(e, "resid").withColumn("p", (F.col("avg_rank") - 0.5) / F.lit(n))
+    return r.select((F.round((F.col("resid") - F.lit(mu)) / F.lit(sd), 4) + 0.0).alias("sample"), F.round("p", 6).alias("p"),
+                    (F.round(norm_ppf("p"), 4) + 0.0).alias("theoretical"), F.col("n_ties").cast("long").alias("n_ties"))
+
+
+# D-02 / D-05 from counts ------------------------------------------------------
+@query("d02_kde_binned", RR + """,
+s AS (SELECT count(y) AS n, stddev_samp(y) AS sd, min(y) AS lo, max(y) AS hi FROM regression_rows),
+c AS (SELECT (y - lo) / ((hi - lo) / 2000) AS u, least(floor((y - lo) / ((hi - lo) / 2000)), 1999) AS k FROM regression_rows, s WHERE y IS NOT NULL),
+w AS (SELECT k, sum(v) AS v FROM (SELECT k, k + 1 - u AS v FROM c UNION ALL SELECT k + 1, u - k FROM c) GROUP BY k),
+g AS (SELECT CAST(unnest(range(100)) AS INTEGER) AS g)
+SELECT g, lo + g * ((hi - lo) / 99) AS x,
+       sum(v * exp(-0.5 * ((g * ((hi - lo) / 99) - k * ((hi - lo) / 2000)) / (sd * n ^ -0.2)) ^ 2))
+         / (n * (sd * n ^ -0.2) * sqrt(2 * pi())) * 1e6 AS density_e6
+FROM g, w, s GROUP BY g, lo, hi, n, sd""", doubles=["x", "density_e6"], digits=4)
+def d02_kde_binned(spark, d):
+    return D.kde_binned(regression_rows(spark, d), "y").select("g", "x", (F.col("density") * 1e6).alias("density_e6"))
+
+
+_BIN_COLS = list(REGRESSION_FEATURES) + ["y"]
+
+
+def _bin_sql(c):
+    return f"CAST(least(floor(({c} - (SELECT min({c}) FROM regression_rows)) / (SELECT (max({c}) - min({c})) / 10 FROM regression_rows)), 9) AS INTEGER)"
+
+
+@query("d05_binned_pairs", RR + ",\nb AS (SELECT " + ", ".join(f"{_bin_sql(c)} AS {c}" for c in _BIN_COLS) + " FROM regression_rows)\n" + U.join(
+    f"SELECT '{a}' AS col_x, '{b}' AS col_y, {a} AS bin_x, {b} AS bin_y, count(*) AS count FROM b WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY {a}, {b}"
+    if a != b else f"SELECT '{a}' AS col_x, '{a}' AS col_y, {a} AS bin_x, {a} AS bin_y, count(*) AS count FROM b WHERE {a} IS NOT NULL GROUP BY {a}"
+    for i, a in enumerate(_BIN_COLS) for b in _BIN_COLS[i:]))
+def d05_binned_pairs(spark, d):
+    return D.binned_pairs(regression_rows(spark, d), _BIN_COLS, 10)
