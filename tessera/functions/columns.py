@@ -40,6 +40,11 @@ def nan_to_null(df: DataFrame, cols=None) -> DataFrame:
     ])
 
 
+def number(c) -> Column:
+    """Column as a double with NaN as missing, the way pandas counts."""
+    return F.nanvl((F.col(c) if isinstance(c, str) else c).cast("double"), F.lit(None).cast("double"))
+
+
 def all_of(preds) -> Column:
     preds = list(preds)
     return reduce(lambda a, b: a & b, preds) if preds else F.lit(True)

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.functions.columns import long_table
+from tessera.functions.columns import long_table, number
 from tessera.functions.ranks import exact_quantiles
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -34,11 +34,12 @@ def grouped_quantiles(df: DataFrame, value: str, probs, by=(), approx: bool = Fa
 
 # ---------------------------------------------------------------------- Q-05
 def describe_numeric(df: DataFrame, cols, approx: bool = False) -> DataFrame:
-    """Q-05: pandas ``describe`` transposed: one row per column, one pass."""
+    """Q-05: pandas ``describe`` transposed: one row per column, one pass.
+    NaN is missing in every statistic, as null is."""
     cols = list(cols)
     aggs = []
     for i, c in enumerate(cols):
-        x = F.col(c).cast("double")
+        x = number(c)
         aggs += [F.count(x).alias(f"n{i}"), F.avg(x).alias(f"mean{i}"),
                  F.stddev_samp(x).alias(f"std{i}"), F.min(x).alias(f"min{i}"), F.max(x).alias(f"max{i}")]
     one = df.agg(*aggs)

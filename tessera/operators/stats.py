@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import distributions as dist
-from tessera.functions.columns import long_table
+from tessera.functions.columns import long_table, number
 from tessera.functions.ranks import with_avg_rank
 from tessera.operators.describe import QUARTILES, grouped_quantiles
 
@@ -22,9 +22,9 @@ def _as_list(by):
 
 
 def _melt(df: DataFrame, cols, keep=()) -> DataFrame:
-    """(keep…, metric, x) long form of numeric columns."""
+    """(keep…, metric, x) long form of numeric columns; NaN becomes null."""
     return df.select(*keep, F.inline(F.array(*[
-        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("x")) for c in cols])))
+        F.struct(F.lit(c).alias("metric"), number(c).alias("x")) for c in cols])))
 
 
 # ---------------------------------------------------------------------- P-01
@@ -70,10 +70,10 @@ def zscore_outliers(df: DataFrame, cols, threshold: float = 3.0) -> DataFrame:
 
 # ---------------------------------------------------------------- P-04 / P-05
 def pearson(df: DataFrame, x: str, y: str) -> DataFrame:
-    """P-04: Pearson r, n, t statistic (p added by :func:`with_t_pvalue`)."""
-    pair = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    return pair.agg(F.corr(F.col(x).cast("double"), F.col(y).cast("double")).alias("r"),
-                    F.count(F.lit(1)).alias("n")) \
+    """P-04: Pearson r, n, t statistic (p added by :func:`with_t_pvalue`) over
+    the rows that have both values (NaN is none)."""
+    pair = df.select(number(x).alias("__x"), number(y).alias("__y")).dropna()
+    return pair.agg(F.corr("__x", "__y").alias("r"), F.count(F.lit(1)).alias("n")) \
         .withColumn("t", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") * F.col("r"))))
 
 
@@ -88,7 +88,7 @@ def spearman(df: DataFrame, x: str, y: str, id_col: str) -> DataFrame:
     Rows collapse to distinct (x, y) first; average ranks have mean (n + 1) / 2,
     so one aggregate of centred products is left."""
     from tessera.functions.ranks import value_ranks
-    cells = df.select(F.col(x).alias("__x"), F.col(y).alias("__y")) \
+    cells = df.select(number(x).alias("__x"), number(y).alias("__y")) \
         .filter(F.col("__x").isNotNull() & F.col("__y").isNotNull()) \
         .groupBy("__x", "__y").agg(F.count(F.lit(1)).alias("__n"))
     n = cells.agg(F.sum("__n")).first()[0] or 0
@@ -165,11 +165,11 @@ def correlation_pairs(df: DataFrame, cols, method: str = "pearson", id_col: str
     cols = list(cols)
     src = df
     if method == "spearman":
-        src = df.select(id_col, *cols)
+        src = df.select(id_col, *[number(c).alias(c) for c in cols])
         for c in cols:
             src = with_avg_rank(src, c, out=f"__r_{c}").drop(c).withColumnRenamed(f"__r_{c}", c)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = src.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}")
+    one = src.agg(*[F.corr(number(a), number(b)).alias(f"c{i}")
                     for i, (a, b) in enumerate(pairs)])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("r"))
@@ -191,7 +191,7 @@ def strong_pairs(df: DataFrame, cols, threshold: float) -> DataFrame:
 
 def target_correlations(df: DataFrame, cols, target: str) -> DataFrame:
     """P-10: corr(feature, target) for every feature, one aggregate."""
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"c{i}")
+    one = df.agg(*[F.corr(number(c), number(target)).alias(f"c{i}")
                    for i, c in enumerate(cols)])
     return long_table(one, [(c, {"r": F.col(f"c{i}")}) for i, c in enumerate(cols)], "feature") \
         .withColumn("abs_r", F.abs("r"))

@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+from pyspark.sql import functions as F
+
 from tessera.plans.registry import query
+from tessera.session import checkpoint_dir
 from tessera.sources.tables import table
 from tessera.streaming import monitor as O
 
@@ -40,3 +46,36 @@ def o01_monitor_stream(spark, d):
     base = O.fit_baseline(ev)
     closed = O.run_stream(spark, d, base, file_glob="events.parquet")
     return closed.unionByName(O.open_windows(ev, closed, base))
+
+
+_BASELINE_DAYS = 10
+_PERIOD_SQL = f"""
+WITH cut AS (SELECT date_trunc('day', min(ts)) + INTERVAL {_BASELINE_DAYS} DAYS AS until FROM events),
+b AS (SELECT max(value) AS vmax, """ + ", ".join(
+    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS b_{c}" for c in _C) + """,
+    count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN """ + str(_C) + """) / count(*) AS b_other
+    FROM events, cut WHERE ts < until),
+e AS (SELECT p.period, CASE p.period WHEN 'week' THEN date_trunc('week', ts) ELSE date_trunc('month', ts) END AS start, event_type, value
+      FROM events, cut, (VALUES ('week'), ('month')) AS p(period) WHERE ts >= until),
+a AS (SELECT period, CAST(start AS TIMESTAMP) AS start, count(*) AS n,
+             count(*) FILTER (WHERE value / (SELECT vmax FROM b) >= 0.5) / count(*) AS coverage,
+             count(*) FILTER (WHERE event_type = 'error') / count(*) AS correction_rate, """ + ", ".join(
+    f"count(*) FILTER (WHERE event_type = '{c}') / count(*) AS share_{c}" for c in _C) + """,
+             count(*) FILTER (WHERE event_type IS NULL OR event_type NOT IN """ + str(_C) + """) / count(*) AS share_other
+      FROM e GROUP BY ALL)
+SELECT a.*, (""" + " + ".join(f"abs(share_{c} - b_{c})" for c in (*_C, "other")) + """) / 2.0 AS mix_drift
+FROM a, b"""
+
+
+@query("o01_drift_from_earlier_period", _PERIOD_SQL, doubles=_DOUBLES)
+def o01_drift_from_earlier_period(spark, d):
+    """Weeks and months against a baseline of the first ten days, saved and read
+    back: closed days come from the stream, days still open from a batch."""
+    ev = table(spark, d, "events")
+    home = os.path.join(checkpoint_dir(spark), f"drift-{uuid.uuid4().hex}")
+    until = ev.agg(F.date_trunc("day", F.min("ts")).cast("timestamp_ntz") + F.expr(f"INTERVAL {_BASELINE_DAYS} DAYS")).first()[0]
+    O.store_baseline(ev, until, os.path.join(home, "baseline"))
+    base = O.load_baseline(spark, os.path.join(home, "baseline"))
+    closed = O.run_day_stream(spark, d, base, home, file_glob="events.parquet")
+    still_open = O.day_counts(ev, base, watermark=None).join(closed.select("day"), "day", "left_anti")
+    return O.period_drift(closed.unionByName(still_open), base)

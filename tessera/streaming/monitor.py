@@ -103,3 +103,60 @@ def closed_windows(batch_metrics: DataFrame, events: DataFrame, watermark_days:
     (window end ≤ max event time − watermark)."""
     mx = events.agg(F.max("ts")).first()[0]
     return batch_metrics.filter(F.col("window_end") <= F.lit(mx) - F.expr(f"INTERVAL {watermark_days} DAYS"))
+
+
+# ---------------------------------------------- drift from an earlier period
+def store_baseline(events: DataFrame, until, path: str, classes=CLASSES) -> None:
+    """Fit the baseline on the events before ``until`` and save it under
+    ``path`` (a Parquet table of one row per class, in a shared folder)."""
+    base = fit_baseline(events.filter(F.col("ts") < F.lit(until)), classes)
+    rows = [(c, base[c], base["scale"], until) for c in (*classes, "other")]
+    events.sparkSession.createDataFrame(rows, "class string, share double, scale double, until timestamp_ntz") \
+        .coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load_baseline(spark: SparkSession, path: str) -> dict:
+    """The saved baseline, with the end of its period under ``until``."""
+    rows = spark.read.parquet(path).collect()                       # one row per class
+    return {"scale": rows[0]["scale"], "until": rows[0]["until"], **{r["class"]: r["share"] for r in rows}}
+
+
+def day_counts(events: DataFrame, baseline: dict, threshold: float = 0.5, watermark: str | None = "1 day",
+               classes=CLASSES) -> DataFrame:
+    """Counts per day (stream or batch) of the events from the end of the
+    baseline's period on. Days add up to weeks and months, so one stream state
+    serves every period of :func:`period_drift`."""
+    e = events.filter(F.col("ts") >= F.lit(baseline["until"])).withColumn("ts", F.col("ts").cast("timestamp"))
+    if watermark:
+        e = e.withWatermark("ts", watermark)
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("value") / F.lit(baseline["scale"]) >= threshold).alias("n_confident"),
+              *[F.count_if(F.col("event_type") == c).alias(f"n_{c}") for c in classes]]
+    d = e.groupBy(F.window("ts", "1 day").alias("w")).agg(*counts)
+    return d.select(F.col("w.start").cast("timestamp_ntz").alias("day"), *[c for c in d.columns if c != "w"])
+
+
+def run_day_stream(spark: SparkSession, source_dir: str, baseline: dict, out_dir: str, file_glob: str = "*.parquet",
+                   threshold: float = 0.5, watermark: str = "1 day") -> DataFrame:
+    """Append the closed days of the files of ``source_dir`` to ``out_dir``
+    (available-now; the same folder again goes on from the last batch)."""
+    stream = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", file_glob).parquet(source_dir)
+    days = day_counts(stream, baseline, threshold, watermark)
+    days.writeStream.outputMode("append").format("parquet").option("path", os.path.join(out_dir, "days")) \
+        .option("checkpointLocation", os.path.join(out_dir, "ckpt")).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema(days.schema).parquet(os.path.join(out_dir, "days"))
+
+
+def period_drift(days: DataFrame, baseline: dict, periods=("week", "month"), classes=CLASSES) -> DataFrame:
+    """(period, start, n, coverage, correction_rate, share_<class>, mix_drift)
+    for calendar weeks (from Monday) and months: sums over the day counts. The
+    drift is half the summed distance of the class shares from the baseline's."""
+    sums = [F.sum(c).alias(c) for c in days.columns if c != "day"]
+    starts = F.array(*[F.struct(F.lit(p).alias("period"), F.date_trunc(p, F.col("day").cast("timestamp")).cast("timestamp_ntz").alias("start"))
+                       for p in periods])
+    t = days.withColumn("__at", F.explode(starts)).groupBy("__at.period", "__at.start").agg(*sums)
+    share = {c: F.col(f"n_{c}") / F.col("n") for c in classes}
+    share["other"] = (F.col("n") - sum(F.col(f"n_{c}") for c in classes)) / F.col("n")
+    drift = sum(F.abs(s - F.lit(baseline[c])) for c, s in share.items()) / 2.0
+    return t.select("period", "start", "n", (F.col("n_confident") / F.col("n")).alias("coverage"),
+                    share[CORRECTION_CLASS].alias("correction_rate"),
+                    *[s.alias(f"share_{c}") for c, s in share.items()], drift.alias("mix_drift"))

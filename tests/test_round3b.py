@@ -122,3 +122,50 @@ def test_normal_quantile_is_exact_to_many_digits(spark):
             assert r["z"] is None
         else:
             assert r["z"] == pytest.approx(NormalDist().inv_cdf(r["p"]), rel=1e-12, abs=1e-14)
+
+
+def test_nan_counts_as_missing(spark):
+    from tessera.operators import stats as S
+    rnd = random.Random(9)
+    rows = [(i, rnd.gauss(0, 1), rnd.gauss(0, 1), "ab"[i % 2]) for i in range(60)]
+    schema = "id int, x double, y double, g string"
+    clean = spark.createDataFrame(rows, schema)
+    nan = float("nan")
+    with_nan = clean.unionByName(spark.createDataFrame([(100, nan, None, "a"), (101, None, nan, "b"), (102, nan, nan, "a")], schema))
+    flat = lambda df: sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+    for f in (lambda d: D.describe_numeric(d, ["x", "y"]), lambda d: S.pearson(d, "x", "y"), lambda d: S.spearman(d, "x", "y", "id"),
+              lambda d: S.correlation_pairs(d, ["x", "y"]), lambda d: S.correlation_pairs(d, ["x", "y"], "spearman", "id"),
+              lambda d: S.target_correlations(d, ["x"], "y"), lambda d: S.shape_stats(d, ["x", "y"]),
+              lambda d: S.anova_oneway(d, "g", ["x", "y"]).select("metric", "N", "k", "f_stat"), lambda d: S.kruskal_wallis(d, "g", ["x", "y"]),
+              lambda d: S.zscore_outliers(d, ["x", "y"])):
+        assert flat(f(clean)) == flat(f(with_nan))
+
+
+def test_drift_is_judged_against_the_saved_earlier_period(spark, tmp_path):
+    from datetime import datetime
+    from tessera.streaming import monitor as O
+    day = lambda k, h=12: datetime(2024, 1, 1, h) + timedelta(days=k)
+    rows, n = [], 0
+    for k in range(50):
+        for kind in ["view"] * 4 + (["click"] * 4 if k < 10 else ["error"] * 4):      # the mix turns after day 10
+            rows.append((n, day(k), 1, kind, 0.8 if k < 10 else 0.3, None))
+            n += 1
+    rows.append((n, day(20), 1, "unknown", 0.8, None))
+    ev = spark.createDataFrame(rows, O.EVENT_SCHEMA)
+    src = str(tmp_path / "in")
+    ev.coalesce(1).write.parquet(src)
+    path = str(tmp_path / "baseline")
+    O.store_baseline(ev, datetime(2024, 1, 11), path)
+    base = O.load_baseline(spark, path)
+    assert base["view"] == base["click"] == 0.5 and base["error"] == base["other"] == 0 and base["scale"] == 0.8
+    closed = O.run_day_stream(spark, src, base, str(tmp_path / "state"))
+    whole = {r["day"]: r["n"] for r in O.day_counts(ev, base, watermark=None).collect()}
+    got = {r["day"]: r["n"] for r in closed.collect()}
+    assert len(whole) == 40 and min(whole) == datetime(2024, 1, 11) and set(whole) - set(got) <= {day(48, 0), day(49, 0)}
+    assert all(whole[k] == v for k, v in got.items())
+    out = {(r["period"], r["start"]): r for r in O.period_drift(O.day_counts(ev, base, watermark=None), base).collect()}
+    first = out["week", datetime(2024, 1, 8)]
+    assert first["n"] == 4 * 8 and first["mix_drift"] == 0.5 and first["correction_rate"] == 0.5 and first["coverage"] == 0
+    month = out["month", datetime(2024, 1, 1)]
+    assert month["n"] == 21 * 8 + 1 and month["share_other"] == 1 / 169 and month["coverage"] == 1 / 169
+    assert {k[0] for k in out} == {"week", "month"} and ("month", datetime(2024, 2, 1)) in out
