@@ -4,16 +4,31 @@ Fixed cutoffs are replaced by fences read from quantile sketches, one per
 (language, source). The sketch is a log-linear histogram (exponent and four
 leading mantissa bits of an integer measure): merging is adding counts, the
 relative error of a quantile is below 1/16 at any size, and the result does not
-depend on the order of rows, tasks or merges. Groups with fewer than
-``min_rows`` rows use their language's sketch, and that failing the whole
-table's: the same cells merged once more.
-
-Fences: value > q75 + REACH * (q75 - q25) + SLACK fails, and for mean word
-length also value < q25 - REACH * (q75 - q25) - SLACK. The measures are written
-once (numbers only, no text); sketches and the filtering join read them.
-
-Only DataFrame functions run here: per-document work is array expressions, so
-no word ever becomes a row.
+depend on the order of rows, tasks or merges.
+
+Small groups lean on their parents by weight: to a group's cells are added the
+cells of its language and of the whole table, each scaled down to PRIOR rows.
+A group of 10 rows is judged mostly by its parents, one of 10,000 by itself, and
+no size switches from one to the other. Weights are integers (thousandths of a
+row), so fences are exact.
+
+Fences, in integers, from the quantiles q of the merged sketch:
+
+  upper = min(q75 + width, q75 + 3/4 of the way from q75 to the top of the range)
+  width = max(REACH * (q75 - q25), (q99 - q75) / 2, least)
+  lower = max(q25 - width', 1000 + 1/4 of the way from 1000 to q25), word length only,
+          width' without the term of q99
+
+so that rates which are 0 in most documents are fenced by their upper tail, and
+every fence lies inside what its rate can be: each side of each rule can reject
+in every group. ``least`` is a twentieth of the range (a quarter for the short
+range of repeat_rate) and three quarters of the median for word length. A rate counts only
+with a least number of events behind it, so that one repeated line or phrase does
+not reject a short text.
+
+The measures are written once (numbers only, no text); sketches and the
+filtering join read them. Only DataFrame functions run here: per-document work
+is array expressions, so no word ever becomes a row.
 """
 
 from __future__ import annotations
@@ -26,14 +41,17 @@ from tessera.llm.common import WORD_SEPARATORS, cut, null_safe
 
 SYMBOLS = "#*$%&|<>"                     # fixed by the contract
 REACH = 5
-MIN_ROWS = 50
-# measure -> (slack added to the upper fence, slack below the lower fence or None)
-RULES = {
-    "word_len": (3000, 3000),            # code points per 1000 words
-    "symbol_rate": (50, None),           # symbols per 1000 code points
-    "dup_line_rate": (300, None),        # repeated lines per 1000 lines with a word
-    "repeat_rate": (100, None),          # repeated words per 1000 words
+PRIOR = 20                               # rows that the language, and the whole table, add to each group's sketch
+UNIT = 1000                              # weight of one row
+QUANTILES = (25, 50, 75, 99)
+SHORTEST = 1000                          # a word has at least one code point
+# rate -> (counted events, events needed to reject, top of the range, least width of the upper fence)
+RATES = {
+    "symbol_rate": ("n_symbols", 5, 1000, 50),          # symbols per 1000 code points
+    "dup_line_rate": ("n_dup_lines", 3, 1000, 50),      # repeated lines per 1000 lines with a word
+    "repeat_rate": ("n_repeat_words", 50, 200, 50),     # repeated words per 1000 words; the base rule takes those above 200
 }
+RULES = ["word_len", *RATES]             # word_len: code points per 1000 words
 
 
 def base_measures(df: DataFrame, carry: list[Column], text: str = "text") -> DataFrame:
@@ -93,62 +111,81 @@ def sketches(m: DataFrame, groups: list[str]) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
 
 
-def quartiles(cells: DataFrame, groups: list[str]) -> DataFrame:
-    """(groups..., rule, rows, q25, q75) from cells; a quantile is the lower
-    edge of the bucket holding the row of rank ceil(q * rows)."""
+def blended(own: DataFrame, lang: str, source: str, prior: int) -> DataFrame:
+    """Cells (lang, source, rule, edge, w) of every group with the scaled cells
+    of its language and of the whole table."""
+    per_lang = own.groupBy(lang, "rule", "edge").agg(F.sum("n").alias("n"))
+    whole = per_lang.groupBy("rule", "edge").agg(F.sum("n").alias("n"))
+
+    def scaled(cells, keys):
+        rows = F.sum("n").over(Window.partitionBy(*keys, "rule"))
+        return cells.withColumn("rows", rows).withColumn("w", F.expr(f"n * {prior * UNIT} div rows")).drop("n", "rows")
+
+    groups = own.groupBy(lang, source, "rule").agg(F.count(F.lit(1)).alias("__cells")).drop("__cells")
+    names = [lang, source, "rule", "edge", "w"]
+    from_lang = null_safe(groups, scaled(per_lang, [lang]), [lang, "rule"])
+    # at most 64 x 16 cells a rule, whatever the table
+    from_all = groups.join(F.broadcast(scaled(whole, [])), "rule")
+    return own.withColumn("w", F.col("n") * UNIT).select(*names).unionByName(from_lang.select(*names)) \
+        .unionByName(from_all.select(*names)).groupBy(lang, source, "rule", "edge").agg(F.sum("w").alias("w"))
+
+
+def quantiles(cells: DataFrame, groups: list[str]) -> DataFrame:
+    """(groups..., rule, q25 ... q99) from cells; a quantile is the lower edge of
+    the bucket holding the weight of rank q * total."""
     key = [*groups, "rule"]
     run = Window.partitionBy(*key).orderBy("edge").rowsBetween(Window.unboundedPreceding, 0)
-    all_of = Window.partitionBy(*key)
-    c = cells.withColumn("upto", F.sum("n").over(run)).withColumn("rows", F.sum("n").over(all_of))
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("rows") * q, F.col("edge")))
-    return c.groupBy(*key).agg(F.max("rows").alias("rows"), at(1).alias("q25"), at(3).alias("q75"))
+    c = cells.withColumn("upto", F.sum("w").over(run)).withColumn("total", F.sum("w").over(Window.partitionBy(*key)))
+    at = lambda q: F.min(F.when(F.col("upto") * 100 >= F.col("total") * q, F.col("edge")))
+    return c.groupBy(*key).agg(*[at(q).alias(f"q{q}") for q in QUANTILES])
+
+
+def _fence_sql(div: str) -> dict[str, str]:
+    """The fences over q25 ... q99 for Spark (``div``) and for the twin (``//``)."""
+    iqr = f"{REACH} * (q75 - q25)"
+    tail = f"(q99 - q75) {div} 2"
+    wide = f"(q50 * 3) {div} 4"
+    out = {"word_len_hi": f"q75 + greatest({iqr}, {tail}, {wide})",
+           "word_len_lo": f"greatest(q25 - greatest({iqr}, {wide}), {SHORTEST} + greatest(q25 - {SHORTEST}, 0) {div} 4)"}
+    for rule, (_, _, top, least) in RATES.items():
+        out[f"{rule}_hi"] = f"q75 + least(greatest({iqr}, {tail}, {least}), (greatest({top} - q75, 0) * 3) {div} 4)"
+    return out
+
 
+def outside(hi: str = "{}_hi", lo: str = "{}_lo") -> dict[str, str]:
+    """Per rule, the condition under which a document fails it."""
+    out = {"word_len": f"word_len > {hi.format('word_len')} OR word_len < {lo.format('word_len')}"}
+    for rule, (events, least, _, _) in RATES.items():
+        out[rule] = f"{rule} > {hi.format(rule)} AND {events} >= {least}"
+    return out
 
-def fences(m: DataFrame, lang: str = "lang", source: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
-    """One row per (language, source): <rule>_hi and, for two-sided rules,
-    <rule>_lo."""
+
+def fences(m: DataFrame, lang: str = "lang", source: str = "source", prior: int = PRIOR) -> DataFrame:
+    """One row per (language, source): <rule>_hi and word_len_lo."""
     own = cut(sketches(m, [lang, source]), "sketches")
-    per_lang = own.groupBy(lang, "rule", "edge").agg(F.sum("n").alias("n"))
-    whole = per_lang.groupBy("rule", "edge").agg(F.sum("n").alias("n"))
-    a = quartiles(own, [lang, source])
-    b = quartiles(per_lang, [lang]).select(lang, "rule", *[F.col(c).alias(f"l_{c}") for c in ("rows", "q25", "q75")])
-    w = quartiles(whole, []).select("rule", F.col("q25").alias("w_q25"), F.col("q75").alias("w_q75"))
-    j = null_safe(a, b, [lang, "rule"]).join(w, "rule")
-    pick = lambda q: F.when(F.col("rows") >= min_rows, F.col(q)) \
-        .when(F.col("l_rows") >= min_rows, F.col(f"l_{q}")).otherwise(F.col(f"w_{q}"))
-    j = j.select(lang, source, "rule", pick("q25").alias("q25"), pick("q75").alias("q75"))
-    spread = REACH * (F.col("q75") - F.col("q25"))
-    one = lambda rule, v: F.max(F.when(F.col("rule") == rule, v))
-    cols = []
-    for rule, (up, down) in RULES.items():
-        cols.append(one(rule, F.col("q75") + spread + up).alias(f"{rule}_hi"))
-        if down is not None:
-            cols.append(one(rule, F.col("q25") - spread - down).alias(f"{rule}_lo"))
-    return j.groupBy(lang, source).agg(*cols)
+    q = quantiles(blended(own, lang, source, prior), [lang, source])
+    one = lambda name, e: F.max(F.when(F.col("rule") == name[:-3], F.expr(e))).alias(name)
+    return q.groupBy(lang, source).agg(*[one(name, e) for name, e in _fence_sql("div").items()])
 
 
 def quality_rules(df: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang",
-                  source: str = "source", min_rows: int = MIN_ROWS) -> DataFrame:
+                  source: str = "source", prior: int = PRIOR) -> DataFrame:
     """One row per row: id, n_words, word_chars, n_symbols, n_dup_lines,
     n_repeat_words, base_failed, kept.
 
     base_failed: fewer than 10 words, or more than 20 % of words in repeated
-    5-word windows. Other rows are kept if every rate is inside its group's
-    fences. Null or empty text: all counts 0, base_failed. A null language or
+    5-word windows. Other rows are kept if no rate with enough events behind it
+    is outside its group's fences; ``prior`` is the weight of the parents' sketches. Null or empty text: all counts 0, base_failed. A null language or
     source is a group of its own. Repeated rows are judged alike. The sketches
     count every row that did not fail the base rules."""
     m = with_rates(base_measures(df, [F.col(id_col).alias("doc_id"), F.col(lang).alias("lang"),
                                       F.col(source).alias("source")], text))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     m = cut(m.withColumn("base_failed", failed), "quality-measures")
-    f = fences(m.where(~F.col("base_failed")), "lang", "source", min_rows)
-    inside = F.lit(True)
-    for rule, (_, down) in RULES.items():
-        inside = inside & (F.col(rule) <= F.col(f"{rule}_hi"))
-        if down is not None:
-            inside = inside & (F.col(rule) >= F.col(f"{rule}_lo"))
+    f = fences(m.where(~F.col("base_failed")), "lang", "source", prior)
+    bad = F.expr(" OR ".join(f"({c})" for c in outside().values()))
     return null_safe(m, f, ["lang", "source"], "left") \
-        .withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))) \
+        .withColumn("kept", ~F.col("base_failed") & F.coalesce(~bad, F.lit(False))) \
         .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
@@ -160,15 +197,10 @@ def _oracle() -> str:
     edge = "(({r} >> greatest(length(bin({r})) - 5, 0)) << greatest(length(bin({r})) - 5, 0))"
     long = " UNION ALL ".join(f"SELECT lang, source, '{r}' AS rule, {edge.format(r=r)} AS edge FROM r WHERE NOT base_failed"
                               for r in RULES)
-    quart = lambda src, keys: f"""SELECT {keys}rule, max(rows) AS rows, min(CASE WHEN upto * 4 >= rows THEN edge END) AS q25,
-       min(CASE WHEN upto * 4 >= rows * 3 THEN edge END) AS q75 FROM (SELECT *, sum(n) OVER (PARTITION BY {keys}rule
-       ORDER BY edge) AS upto, sum(n) OVER (PARTITION BY {keys}rule) AS rows FROM {src}) GROUP BY {keys}rule"""
-    tests = []
-    for rule, (up, down) in RULES.items():
-        out = f"{rule} > q75 + {REACH} * (q75 - q25) + {up}"
-        if down is not None:
-            out += f" OR {rule} < q25 - {REACH} * (q75 - q25) - {down}"
-        tests.append(f"(rule = '{rule}' AND ({out}))")
+    fence = _fence_sql("//")
+    tests = [f"(rule = '{rule}' AND ({test}))" for rule, test in outside("hi", "lo").items()]
+    hi = " ".join(f"WHEN '{r}' THEN {fence[f'{r}_hi']}" for r in RULES)
+    at = ", ".join(f"min(CASE WHEN upto * 100 >= total * {q} THEN edge END) AS q{q}" for q in QUANTILES)
     return rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 b AS (SELECT rid, doc_id, lang, source, [x FOR x IN regexp_split_to_array(t, '[\x20\x09-\x0D]+') IF x <> ''] AS w,
@@ -186,11 +218,16 @@ r AS (SELECT *, {', '.join(f'{e} AS {n}' for n, e in rates.items())},
 cells AS (SELECT lang, source, rule, edge, count(*) AS n FROM ({long}) GROUP BY ALL),
 cl AS (SELECT lang, rule, edge, sum(n) AS n FROM cells GROUP BY ALL),
 cw AS (SELECT rule, edge, sum(n) AS n FROM cells GROUP BY ALL),
-qa AS ({quart('cells', 'lang, source, ')}), ql AS ({quart('cl', 'lang, ')}), qw AS ({quart('cw', '')}),
-q AS (SELECT qa.lang, qa.source, qa.rule,
-        CASE WHEN qa.rows >= {MIN_ROWS} THEN qa.q25 WHEN ql.rows >= {MIN_ROWS} THEN ql.q25 ELSE qw.q25 END AS q25,
-        CASE WHEN qa.rows >= {MIN_ROWS} THEN qa.q75 WHEN ql.rows >= {MIN_ROWS} THEN ql.q75 ELSE qw.q75 END AS q75
-      FROM qa JOIN ql ON qa.lang IS NOT DISTINCT FROM ql.lang AND qa.rule = ql.rule JOIN qw ON qa.rule = qw.rule),
+pl AS (SELECT lang, rule, edge, CAST(n * {PRIOR * UNIT} AS BIGINT) // CAST(sum(n) OVER (PARTITION BY lang, rule) AS BIGINT) AS w FROM cl),
+pw AS (SELECT rule, edge, CAST(n * {PRIOR * UNIT} AS BIGINT) // CAST(sum(n) OVER (PARTITION BY rule) AS BIGINT) AS w FROM cw),
+grp AS (SELECT DISTINCT lang, source, rule FROM cells),
+blend AS (SELECT lang, source, rule, edge, CAST(sum(w) AS BIGINT) AS w FROM (
+        SELECT lang, source, rule, edge, n * {UNIT} AS w FROM cells
+        UNION ALL SELECT grp.lang, grp.source, grp.rule, edge, w FROM grp JOIN pl ON grp.lang IS NOT DISTINCT FROM pl.lang AND grp.rule = pl.rule
+        UNION ALL SELECT grp.lang, grp.source, grp.rule, edge, w FROM grp JOIN pw ON grp.rule = pw.rule) GROUP BY ALL),
+qq AS (SELECT lang, source, rule, {at} FROM (SELECT *, sum(w) OVER (PARTITION BY lang, source, rule ORDER BY edge) AS upto,
+        sum(w) OVER (PARTITION BY lang, source, rule) AS total FROM blend) GROUP BY lang, source, rule),
+q AS (SELECT lang, source, rule, CASE rule {hi} END AS hi, {fence['word_len_lo']} AS lo FROM qq),
 bad AS (SELECT DISTINCT rid FROM r JOIN q ON r.lang IS NOT DISTINCT FROM q.lang AND r.source IS NOT DISTINCT FROM q.source
         WHERE {' OR '.join(tests)})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,

@@ -175,6 +175,61 @@ def test_quality_counts_and_verdicts(spark, docs, empty):
     assert quality_rules.quality_rules(empty).count() == 0
 
 
+def quality_text(i, n_lines=40, symbols=0, repeated=0, phrase=0):
+    """Ten-word lines of different words, with so many symbols, copies of one line
+    (every second line) and copies of a six-word phrase."""
+    lines = [[f"{chr(97 + i % 26)}{i % 7}{k * 9 + j:03d}" for j in range(9)] + [f"x{i}n{k:03d}"]
+             for k in range(n_lines)]
+    for k in range(symbols):
+        lines[2 * k % n_lines][k % 9] += "#"
+    for k in range(repeated):
+        lines[2 * k + 1] = ["one", "same"]
+    for k in range(phrase):
+        lines[k][2:8] = ["said", "over", "and", "over", "once", "more"]
+    return "\n".join(" ".join(x) for x in lines)
+
+
+def test_quality_fences_reject_on_every_side_and_follow_the_source(spark):
+    """Two sources of one language: ``clean`` has next to no noise, ``hot`` holds
+    two thirds of the rows, with symbols and repeated lines in all of them. Each
+    planted text is judged by its own source."""
+    rows = [(i, quality_text(i, symbols=i % 3), "en", "clean", 1) for i in range(120)]
+    rows += [(1000 + i, quality_text(i, symbols=80 + i % 80, repeated=9 + i % 2), "en", "hot", 1) for i in range(240)]
+    planted = {9001: ("clean", dict(symbols=360), False), 9002: ("hot", dict(symbols=120, repeated=9), True),
+               9003: ("hot", dict(symbols=2000), False), 9004: ("clean", dict(repeated=12), False),
+               9005: ("hot", dict(repeated=12, symbols=90), True), 9006: ("hot", dict(n_lines=80, repeated=39, symbols=90), False),
+               9007: ("clean", dict(letters=1), False), 9008: ("hot", dict(letters=1), False),
+               9009: ("clean", dict(letters=18), False), 9010: ("hot", dict(letters=18), False),
+               9011: ("clean", dict(phrase=11), False), 9012: ("clean", dict(phrase=4), True),
+               9013: ("clean", dict(symbols=4, n_lines=1), True), 9014: ("clean", dict(repeated=3), True)}
+    for i, (source, how, _) in planted.items():
+        long = how.pop("letters", None)      # words of one length, all different
+        words = [chr(0x4E00 + k) if long == 1 else f"{k:0{long}d}" for k in range(400)] if long else []
+        rows.append((i, " ".join(words) or quality_text(i, **how), "en", source, 1))
+    df = spark.createDataFrame(rows, brute.SCHEMA).repartition(5)
+    got = {r["doc_id"]: (r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(df).collect()}
+    assert not any(got[i][0] for i in range(120)) and not any(got[1000 + i][0] for i in range(240))
+    assert all(got[i][1] for i in got if i < 9000)
+    assert {i: got[i] for i in planted} == {i: (False, keep) for i, (_, _, keep) in planted.items()}
+    m = quality_rules.with_rates(quality_rules.base_measures(df, [F.col("lang"), F.col("source")]))
+    f = {r["source"]: r.asDict() for r in quality_rules.fences(m).collect()}
+    for rule in ("symbol_rate", "dup_line_rate"):
+        assert f["hot"][f"{rule}_hi"] > f["clean"][f"{rule}_hi"]
+    for r in f.values():
+        assert r["word_len_lo"] > 1000 and r["symbol_rate_hi"] < 1000 and r["dup_line_rate_hi"] < 1000 and r["repeat_rate_hi"] < 200
+
+
+def test_quality_groups_lean_on_their_parents_by_weight(spark):
+    """The fence of a group moves step by step with its rows, without a jump."""
+    cells = [("en", "big", "symbol_rate", 0, 1000)]
+    at = []
+    for n in (1, 10, 30, 49, 50, 51, 200):
+        own = spark.createDataFrame(cells + [("en", "small", "symbol_rate", 100, n)], "lang string, source string, rule string, edge long, n long")
+        q = quality_rules.quantiles(quality_rules.blended(own, "lang", "source", 20), ["lang", "source"])
+        at.append([q.where("source = 'small'").first()[f"q{p}"] for p in (25, 50, 75)])
+    assert at == [[0, 0, 0], [0, 0, 0], [0, 0, 100], [0, 100, 100], [0, 100, 100], [0, 100, 100], [100, 100, 100]]
+
+
 def test_quality_sketch_is_mergeable_and_close(spark):
     v = spark.range(5000).select((F.col("id") * F.col("id")).alias("v"))
     edges = sorted(r[0] for r in v.select(quality_rules.bucket_floor(F.col("v"))).collect())
