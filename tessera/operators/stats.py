@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import distributions as dist
 from tessera.functions.columns import long_table, number
-from tessera.functions.ranks import with_avg_rank
 from tessera.operators.describe import QUARTILES, grouped_quantiles
+from tessera.session import written
 
 
 def _as_list(by):
@@ -160,22 +160,55 @@ def with_chi2_pvalue(stats: DataFrame, stat: str, dof) -> DataFrame:
 def correlation_pairs(df: DataFrame, cols, method: str = "pearson", id_col: str | None = None) -> DataFrame:
     """P-08: all pairs (a < b in column order) with r, one aggregate pass.
 
-    ``method='spearman'`` first replaces each column with its average rank.
-    """
+    ``method='spearman'`` takes each column's average ranks over its non-missing
+    rows instead of its values (:func:`_rank_table`; ``id_col`` is not needed)."""
     cols = list(cols)
-    src = df
-    if method == "spearman":
-        src = df.select(id_col, *[number(c).alias(c) for c in cols])
-        for c in cols:
-            src = with_avg_rank(src, c, out=f"__r_{c}").drop(c).withColumnRenamed(f"__r_{c}", c)
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    one = src.agg(*[F.corr(number(a), number(b)).alias(f"c{i}")
-                    for i, (a, b) in enumerate(pairs)])
+    if method == "spearman":
+        src, names = _rank_table(df, cols)
+        rs = [_weighted_corr(names[a], names[b], "__n") for a, b in pairs]
+    else:
+        src, rs = df, [F.corr(number(a), number(b)) for a, b in pairs]
+    one = src.agg(*[r.alias(f"c{i}") for i, r in enumerate(rs)])
     return one.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"c{i}").alias("r"))
         for i, (a, b) in enumerate(pairs)])))
 
 
+def _rank_table(df: DataFrame, cols) -> tuple[DataFrame, dict[str, str]]:
+    """(``__n`` rows, one centred average rank a column) per distinct row of
+    ``cols``, and the rank column of each name.
+
+    The rows are shuffled once, to collapse equal ones, and written. All columns
+    are then ranked together as (column, value, count), and the ranks come back by
+    one join of the long form and one grouping by row number, whatever the number
+    of columns. A value that many rows share is one row on the ranks' side, so the
+    join can be split."""
+    from tessera.functions.ranks import value_ranks
+    at = range(len(cols))
+    rows = df.select(*[number(c).alias(f"__c{i}") for i, c in enumerate(cols)]) \
+        .groupBy(*[f"__c{i}" for i in at]).agg(F.count(F.lit(1)).alias("__n"))
+    rows = written(rows.withColumn("__k", F.monotonically_increasing_id()), "p08-rows")
+    long = rows.select("__k", "__n", F.posexplode(F.array(*[f"__c{i}" for i in at])).alias("__p", "__x")) \
+        .filter(F.col("__x").isNotNull())
+    ranks = written(value_ranks(long, "__x", by=["__p"], count="__n"), "p08-ranks")
+    middle = {r["__p"]: (r["n"] + 1) / 2.0 for r in ranks.groupBy("__p").agg(F.sum("n_ties").alias("n")).collect()}
+    back = long.join(ranks.select("__p", "__x", "avg_rank"), ["__p", "__x"]).groupBy("__k").agg(
+        F.max("__n").alias("__n"),
+        *[F.max(F.when(F.col("__p") == i, F.col("avg_rank") - F.lit(middle.get(i, 0.0)))).alias(f"__r{i}") for i in at])
+    return back, {c: f"__r{i}" for i, c in enumerate(cols)}
+
+
+def _weighted_corr(a: str, b: str, n: str):
+    """Pearson r of two columns over the rows that have both, each row standing
+    for ``n``; null where one of them does not vary."""
+    x, y = F.col(a), F.col(b)
+    s = lambda c: F.sum(F.when(x.isNotNull() & y.isNotNull(), F.col(n) * c))
+    rows, sx, sy = s(F.lit(1.0)), s(x), s(y)
+    spread = (s(x * x) - sx * sx / rows) * (s(y * y) - sy * sy / rows)
+    return F.when(spread > 0, (s(x * y) - sx * sy / rows) / F.sqrt(spread))
+
+
 def correlation_matrix(df: DataFrame, cols) -> DataFrame:
     """P-08: full symmetric long matrix (col_a, col_b, r) incl. the diagonal."""
     pairs = correlation_pairs(df, cols)

@@ -169,3 +169,34 @@ def test_drift_is_judged_against_the_saved_earlier_period(spark, tmp_path):
     month = out["month", datetime(2024, 1, 1)]
     assert month["n"] == 21 * 8 + 1 and month["share_other"] == 1 / 169 and month["coverage"] == 1 / 169
     assert {k[0] for k in out} == {"week", "month"} and ("month", datetime(2024, 2, 1)) in out
+
+
+def test_spearman_matrix_with_hot_values_missing_and_repeated_rows(spark):
+    """Against ranks over each column's own non-missing rows, joined pair by pair."""
+    from tessera.operators import stats as S
+    rng = np.random.default_rng(5)
+    x = np.where(rng.random(400) < 0.34, 0.0, np.round(rng.normal(size=400), 1))
+    y = np.round(x + rng.normal(size=400), 1)
+    z = np.where(rng.random(400) < 0.2, np.nan, -y + np.round(rng.normal(size=400), 1))
+    rows = [(float(a), float(b), float(c), 1.0) for a, b, c in zip(x, y, z)]
+    rows += rows[:100]                                                         # repeated rows count again
+    df = spark.createDataFrame(rows, "x double, y double, z double, flat double").repartition(4)
+    v = np.array(rows)
+
+    def ranks(c):
+        have = ~np.isnan(c)
+        s = np.sort(c[have])
+        out = np.full(len(c), np.nan)
+        out[have] = (np.searchsorted(s, c[have], "left") + np.searchsorted(s, c[have], "right") + 1) / 2
+        return out
+
+    r = {n: ranks(v[:, i]) for i, n in enumerate(["x", "y", "z", "flat"])}
+    got = {(t["col_a"], t["col_b"]): t["r"] for t in S.correlation_pairs(df, ["x", "y", "z", "flat"], "spearman").collect()}
+    assert len(got) == 6
+    for (a, b), value in got.items():
+        both = ~np.isnan(r[a]) & ~np.isnan(r[b])
+        if "flat" in (a, b):
+            assert value is None
+        else:
+            assert value == pytest.approx(np.corrcoef(r[a][both], r[b][both])[0, 1], abs=1e-12)
+    assert [t["r"] for t in S.correlation_pairs(df.where("1 = 0"), ["x", "y"], "spearman").collect()] == [None]
