@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import row_uniform, row_uniform_sql
+from tessera.operators.search import joint_search
 from tessera.operators import cluster as C
 from tessera.operators import describe as D
 from tessera.operators import evaluate as E
@@ -118,6 +119,15 @@ def v07_v08_random_search(spark, d):
     return M.select_best(M.random_search(tr, FEATS, "y", "id", seed=42, gbt_trials=3, gbt_rounds=20))
 
 
+@query("v07_joint_search")
+def v07_joint_search(spark, d):
+    """Every score of a joint search by 5-fold CV: all ten ridge penalties and 30
+    joint draws of depth and leaf size. The operator's boosted and forest draws
+    (up to 500 rounds, 800 trees, five fits each) are left to the caller."""
+    tr, _ = _rr_split(spark, d)
+    return joint_search(tr, FEATS, "y", "id", ("ridge", "tree"))
+
+
 # E-16 / E-18 ----------------------------------------------------------------
 @query("e16_e18_coefficients_attribution")
 def e16_e18_coefficients_attribution(spark, d):
