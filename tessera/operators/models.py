@@ -372,6 +372,44 @@ def predict_text(cv, model, df: DataFrame, text: str) -> DataFrame:
                                                                        "rawPrediction", "probability")
 
 
+def linear_vector_classifier(train: DataFrame, vec: str, label_idx: str, C: float = 1.0, max_iter: int = 2000):
+    """M-01 on an array column, without class weights: sklearn's C as regParam = 1 / (C · n)."""
+    data = train.select(array_to_vector(F.col(vec).cast("array<double>")).alias("features"), F.col(label_idx).cast("double").alias("label"))
+    return LogisticRegression(family="multinomial", regParam=1.0 / (C * train.count()), elasticNetParam=0.0,
+                              standardization=False, maxIter=max_iter, tol=1e-8).fit(data)
+
+
+def compare_vector_sets(sets: dict, rows: DataFrame, id_col: str, label: str, vec: str, split: str = "split",
+                        C: float = 1.0, at_once: int = 2) -> DataFrame:
+    """X-08: (representation, dims, n_train, n_test, accuracy, f1_macro), one row
+    per set of ``sets`` (name → table of ``id_col`` and ``vec``), in macro F1 order.
+
+    One linear classifier a set, fitted on the ``train`` rows and scored on the
+    ``test`` rows of ``rows`` (``id_col``, ``label``, ``split``), so sets differ in
+    their vectors only. A row without a label takes no part; one without a vector in
+    some set is an error. Sets are fitted ``at_once`` at a time."""
+    from tessera.operators.evaluate import classification_metrics
+    from tessera.operators.text import encode, label_encoder
+    from tessera.sources.tables import align_embeddings
+    rows = rows.dropna(subset=[label]).select(id_col, label, split)
+    rows = encode(rows, label, label_encoder(rows, label), "__y").select(id_col, split, "__y")
+
+    def one(item):
+        name, vectors = item
+        data = written(align_embeddings(rows, vectors.select(id_col, vec), id_col), "x08-set")
+        train, test = data.filter(F.col(split) == "train"), data.filter(F.col(split) == "test")
+        model = linear_vector_classifier(train, vec, "__y", C)
+        p = model.transform(test.withColumn("features", array_to_vector(F.col(vec).cast("array<double>")))) \
+            .select(F.col("__y").alias("truth"), F.col("prediction").cast("int").alias("pred"))
+        m = classification_metrics(p).first()
+        return name, model.numFeatures, train.count(), m["n"], m["accuracy"], m["f1_macro"]
+
+    with ThreadPool(at_once) as pool:
+        out = pool.map(inheritable_thread_target(rows.sparkSession)(one), sets.items())
+    return rows.sparkSession.createDataFrame(out, "representation string, dims int, n_train long, n_test long, "
+                                                  "accuracy double, f1_macro double").orderBy(F.desc("f1_macro"), "representation")
+
+
 def top_words(cv, model, n: int = 10) -> list[tuple]:
     """E-15: words with the largest and smallest weights per class (the
     coefficient matrix is classes × vocabulary, read from the model)."""

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions.hashing import row_uniform, row_uniform_sql
-from tessera.operators.search import joint_search
 from tessera.operators import cluster as C
 from tessera.operators import describe as D
 from tessera.operators import evaluate as E
@@ -22,6 +21,7 @@ from tessera.operators import quality as Q
 from tessera.operators import stats as S
 from tessera.operators import text as X
 from tessera.operators import timeseries as T
+from tessera.operators.search import joint_search
 from tessera.operators.splits import stratified_split
 from tessera.plans.bindings import (REGRESSION_FEATURES, REGRESSION_ROWS_SQL, daily_series,
                                     regression_rows, with_sql)
@@ -302,6 +302,19 @@ def c02_x08_pca_embeddings(spark, d):
     return spark.createDataFrame(rows, "representation string, dims int, explained double, f1_macro double")
 
 
+@query("x08_linear_classifier")
+def x08_linear_classifier(spark, d):
+    """Embedding sets compared by one linear classifier's macro F1: the raw
+    vectors and their projections on 10 and 30 components fitted on the training rows."""
+    emb = table(spark, d, "embeddings").dropna(subset=["embedding", "label"])
+    rows = emb.join(stratified_split(emb, "vec_id", "label", 0.2, 42).select("vec_id", "split"), on="vec_id")
+    pca = C.fit_pca_vectors(rows.filter("split = 'train'"), "embedding", k=30)
+    scores = C.pca_vector_scores(rows, pca, "embedding", keep=["vec_id"])
+    sets = {"raw": emb.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))} | {
+        f"pca{k}": scores.select("vec_id", F.slice("scores", 1, k).alias("v")) for k in (10, 30)}
+    return M.compare_vector_sets(sets, rows, "vec_id", "label", "v")
+
+
 # V-06 -----------------------------------------------------------------------
 # Model families of the grid and whether each accepts a representation:
 # multinomial naive Bayes needs non-negative inputs, so signed vectors skip it.
