@@ -40,11 +40,18 @@ def test_ridge_over_seeds_equals_separate_fits(spark):
         assert (r["s"], r["sa"], r["t"]) == pytest.approx(tuple(want)[1:], rel=1e-6, abs=1e-6)
 
 
-def _scans(df) -> int:
-    return df._jdf.queryExecution().executedPlan().toString().count("lineitem.parquet")
+def _scans(df, name="lineitem") -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count(f"{name}.parquet")
 
 
 def test_regression_rows_are_read_from_their_own_table(spark):
     from tessera.plans.q_models import _rr_split
     for part in _rr_split(spark, "/root/testdata/sf0.001"):
         assert _scans(part) == 0
+
+
+def test_weights_are_read_from_written_postings(spark):
+    from tessera.plans import q_text
+    for weights in (q_text._weights, q_text._all_weights):
+        w, vocab, _ = weights(spark, "/root/testdata/sf0.001")
+        assert _scans(w, "documents") == _scans(vocab, "documents") == 0
